@@ -198,3 +198,76 @@ def test_sinks(spark, landing, golden, lists, tmp_path):
     assert len(lines) == 5
     assert spark.read.text(text + "/verdict=file").count() == 3
     assert sinks.wants_compaction(loaded.files)
+
+
+def test_command_line(spark, landing, tmp_path):
+    from feedlake.__main__ import main
+
+    fill(landing)
+    base = str(tmp_path)
+    spark.createDataFrame(
+        [
+            ("db", "allergy", "Patient ID", "1", None),
+            ("db", "allergy", "Allergy Name", "2", None),
+            ("db", "allergy", "Allergy Code", "10", ""),
+            ("db", "allergy", "Loaded At", "3", "ETL"),
+            ("db", "patient", "Patient ID", "1", None),
+            ("db", "patient", "SSN", "2", "Remove"),
+            ("db", "patient", "City", "3", None),
+            ("other", "patient", "Street", "4", None),
+        ],
+        "databasename string, tablename string, columntitle string, columnid string, commentstring string",
+    ).write.parquet(base + "/catalog")
+    (tmp_path / "practices").write_text('416~A, "quoted"\n1267~B\n1267~B again\n')
+    (tmp_path / "divisions").write_text("2208~x\n")
+    (tmp_path / "entities").write_text("ALLERGY\nPatient\nchart\n")
+    main(
+        [landing.source, "*", "2015-09*", base + "/out", base + "/practices", base + "/entities",
+         base + "/divisions", "path", "--catalog", base + "/catalog", "--database", "db", "--text"]
+    )
+    landed = spark.read.parquet(base + "/out/rows")
+    assert by_verdict(landed) == EXPECTED
+    assert spark.read.parquet(base + "/out/error/files").count() == 3
+    states = [r["state"] for r in spark.read.parquet(base + "/out/audit/status").orderBy("ts").collect()]
+    assert states == ["started", "completed with errors"]
+    assert spark.read.parquet(base + "/out/audit/work_queue").count() == 1
+    assert spark.read.text(base + "/out/text").where("verdict = 'bad_arity'").count() == 3
+    with pytest.raises(SystemExit):
+        main([landing.source])
+
+
+def test_manifest_run_writes_manifest_and_control(spark, landing, golden, lists, tmp_path):
+    from feedlake.plans.job import Outputs, run
+
+    landing.manifest("2208", "2015-09-01", [["allergy_4.0_20150901090417_416.asv", "2", "h", "t"]])
+    landing.control("2208", "2015-09-01", "DIV")
+    landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, [["1", "n", "1"]])
+    out = Outputs(str(tmp_path / "out"))
+    outcome = run(spark, "divisional", landing.source, "2015-09-01", lists, golden, out)
+    assert [tuple(r) for r in outcome.collect()] == [("allergy", 1, 0, 0, "ok")]
+    line = US.join(["allergy_4.0_20150901090417_416.asv", "2", "h", "t", "0", "DIV", "Manifest_4.0_2208.asv"])
+    assert [r["value"] for r in spark.read.text(out.root + "/manifest").collect()] == [line]
+    assert spark.read.text(out.root + "/control").first()["value"].startswith("2208\x1f2015-09-01")
+    with pytest.raises(ValueError):
+        run(spark, "other", landing.source, "2015-09-01", lists, golden, out)
+
+
+def test_arrivals(spark, landing, golden, lists, tmp_path):
+    from feedlake.streaming.arrivals import load_arrivals
+
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def poll():
+        query = load_arrivals(spark, str(landing.root / "data"), lists, golden, out, checkpoint)
+        query.awaitTermination()
+        assert query.exception() is None
+        rows = spark.read.option("basePath", out).parquet(out + "/batch=*").where("verdict = 'ok'")
+        return sorted((r["batch"], r["fields"][0], r["job_id"]) for r in rows.collect())
+
+    landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, [["1", "n", "1"]])
+    landing.control("416", "2015-09-01", "J1")
+    landing.entity("1267", "2015-09-01", "allergy", A_TITLES, A_TYPES, [["2", "n", "1"]])
+    assert poll() == [(0, "1", "J1")]
+    assert poll() == [(0, "1", "J1")]
+    landing.control("1267", "2015-09-01", "J2")
+    assert poll() == [(0, "1", "J1"), (1, "2", "J2")]
