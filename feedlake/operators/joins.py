@@ -65,10 +65,12 @@ def with_job_id(df: DataFrame, dir_of: Column, controls: DataFrame) -> DataFrame
 
 
 def paths_by_entity(files: DataFrame, entity: Column, path: Column) -> DataFrame:
-    """(entity, path, n_paths): the distinct files of every entity and how many it has.
+    """(entity, path): the distinct files of every entity.
 
     The mapping stays relational. One list per entity would gather a busy entity in one task.
     """
-    pairs = files.select(F.upper(entity).alias("entity"), path.alias("path")).distinct()
-    counts = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_paths"))
-    return pairs.join(counts, "entity")
+    return files.select(F.upper(entity).alias("entity"), path.alias("path")).distinct()
+
+
+def entity_sizes(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_paths"))
