@@ -20,8 +20,10 @@ _BLANK = r"^[\x00-\x20]*$"
 
 
 def clean_record(value: Column) -> Column:
-    """CR becomes a space; LF and RS are removed."""
-    return F.translate(value, CR + LF + RS, " ")
+    """CR becomes a space; LF and RS are removed. Most records have at most an LF."""
+    return F.when(
+        F.contains(value, F.lit(CR)) | F.contains(value, F.lit(RS)), F.translate(value, CR + LF + RS, " ")
+    ).otherwise(F.replace(value, F.lit(LF), F.lit("")))
 
 
 def is_blank(value: Column) -> Column:

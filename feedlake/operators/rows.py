@@ -5,46 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.rows import blank_personal, numbers_ok, to_golden_order
-from feedlake.functions.text import clean_record, is_blank, split_fields
+from feedlake.functions.rows import blank_personal, field_count, numbers_ok, to_golden_order
+from feedlake.functions.text import clean_record, is_blank
 
 ROW_VERDICTS = ("ok", "bad_arity", "bad_number")
 FILE_RECORD = "file"
 
 
 def route(records: DataFrame, validate: bool = False, pii_extra_columns: str = "drop") -> DataFrame:
-    """Adds verdict, n_fields and output fields to raw records with their layout.
+    """Adds verdict, n_fields and the output line to raw records with their layout.
 
     ``records`` has value and the layout columns. A null value is the record of the file itself:
-    it gets the verdict ``file`` and no fields. Blank records vanish. Accepted rows come out in
+    it gets the verdict ``file`` and no line. Blank records vanish. Accepted rows come out in
     catalog order, rejected ones in source order with personal data emptied.
 
     The width is compared on the raw fields. ``pii_extra_columns="reject"`` rejects all rows of
     a file that has both personal data and columns unknown to the catalog.
     """
-    value = F.col("value")
-    rows = records.where(value.isNull() | ~is_blank(value)).withColumn(
-        "raw", split_fields(clean_record(value))
+    value, clean = F.col("value"), F.col("clean")
+    rows = (
+        records.where(value.isNull() | ~is_blank(value))
+        .withColumn("clean", clean_record(value))
+        .withColumn("n_fields", field_count(clean))
     )
-    raw = F.col("raw")
-    wrong_width = F.size(raw) != F.col("width")
+    wrong_width = F.col("n_fields") != F.col("width")
     if pii_extra_columns == "reject":
         wrong_width = wrong_width | (F.col("has_pii") & (F.size("extra_columns") > 0))
-    verdict = F.when(raw.isNull(), FILE_RECORD).when(wrong_width, "bad_arity")
+    verdict = F.when(clean.isNull(), FILE_RECORD).when(wrong_width, "bad_arity")
     if validate:
-        verdict = verdict.when(~numbers_ok(raw, F.col("numeric")), "bad_number")
-    accepted = F.when(
-        F.col("reorder") | F.col("has_pii"),
-        to_golden_order(raw, F.col("positions"), F.col("golden_pii")),
-    ).otherwise(raw)
-    rejected = F.when(
-        F.col("has_pii"), blank_personal(raw, F.col("source_known"), F.col("source_pii"))
-    ).otherwise(raw)
-    return (
-        rows.withColumn("verdict", verdict.otherwise("ok"))
-        .withColumn("n_fields", F.when(raw.isNotNull(), F.size(raw)))
-        .withColumn(
-            "fields",
-            F.when(F.col("verdict") == "ok", accepted).when(raw.isNotNull(), rejected),
-        )
+        verdict = verdict.when(~numbers_ok(clean, F.col("number_pattern")), "bad_number")
+    accepted = F.when(F.col("accept_pattern").isNull(), clean).otherwise(
+        to_golden_order(clean, F.col("accept_pattern"), F.col("accept_text"))
+    )
+    rejected = F.when(F.col("source_pattern").isNull(), clean).otherwise(
+        blank_personal(clean, F.col("source_pattern"), F.col("source_text"))
+    )
+    return rows.withColumn("verdict", verdict.otherwise("ok")).withColumn(
+        "line", F.when(F.col("verdict") == "ok", accepted).otherwise(rejected)
     )

@@ -11,6 +11,13 @@ from feedlake.functions.header import (
     normalise_all,
     number_positions,
 )
+from feedlake.functions.rows import (
+    all_fields_pattern,
+    golden_text,
+    numbers_pattern,
+    source_pattern,
+    source_text,
+)
 from feedlake.functions.text import header_fields
 
 FILE_VERDICTS = ("bad_header", "no_golden_schema", "schema_mismatch")
@@ -18,14 +25,13 @@ FILE_VERDICTS = ("bad_header", "no_golden_schema", "schema_mismatch")
 LAYOUT_COLUMNS = (
     "file_verdict",
     "width",
-    "reorder",
     "has_pii",
-    "positions",
-    "golden_pii",
-    "source_known",
-    "source_pii",
-    "numeric",
     "extra_columns",
+    "accept_pattern",
+    "accept_text",
+    "source_pattern",
+    "source_text",
+    "number_pattern",
 )
 
 
@@ -40,7 +46,8 @@ def resolve_layout(headers: DataFrame) -> DataFrame:
     """Adds the layout columns to rows with titles, types, golden and golden_pii.
 
     A file is rejected when it has no usable header, when the catalog does not know its entity,
-    or when a golden column is missing. Extra columns are allowed and listed.
+    or when a golden column is missing. Extra columns are allowed and listed. The accept columns
+    are null when rows can stay as they are, the source columns when no data is personal.
     """
     names, golden = F.col("names"), F.col("golden")
     base = headers.withColumn("names", normalise_all(header_fields(F.col("titles")))).withColumn(
@@ -62,6 +69,8 @@ def resolve_layout(headers: DataFrame) -> DataFrame:
         number_positions(F.col("type_names")),
         lambda i: ~F.coalesce(F.get(F.col("source_pii"), i), F.lit(False)),
     )
+    pii = F.col("has_pii")
+    moved = F.col("reorder") | pii
     return (
         match_counts(base)
         .withColumn("file_verdict", verdict)
@@ -73,5 +82,10 @@ def resolve_layout(headers: DataFrame) -> DataFrame:
         .withColumn("source_pii", source_pii)
         .withColumn("numeric", numeric)
         .withColumn("extra_columns", F.array_except(names, golden))
+        .withColumn("accept_pattern", F.when(moved, all_fields_pattern(names)))
+        .withColumn("accept_text", F.when(moved, golden_text(F.col("positions"), F.col("golden_pii"))))
+        .withColumn("source_pattern", F.when(pii, source_pattern(F.col("source_known"), F.col("source_pii"))))
+        .withColumn("source_text", F.when(pii, source_text(F.col("source_known"))))
+        .withColumn("number_pattern", numbers_pattern(names, F.col("numeric")))
         .drop("names", "type_names", "n_matched", "n_golden", "golden", "titles", "types")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.rows import with_audit
-from feedlake.functions.text import join_fields
+from feedlake.functions.text import US, split_fields
 from feedlake.operators.rows import FILE_RECORD
 
 SMALL_FILE_BYTES = 16 << 20
@@ -23,11 +23,10 @@ def output_lines(rows: DataFrame) -> DataFrame:
 
     The line of a rejected file is its path and the reason; accepted files leave none.
     """
-    fields = with_audit(F.col("fields"), F.col("job_id"), F.col("source_file"))
     value = F.when(
         F.col("verdict") == FILE_RECORD,
-        join_fields(F.array("file_path", "file_verdict")),
-    ).otherwise(join_fields(fields))
+        F.concat_ws(US, "file_path", "file_verdict"),
+    ).otherwise(with_audit(F.col("line"), F.col("job_id"), F.col("source_file")))
     return rows.where((F.col("verdict") != FILE_RECORD) | (F.col("file_verdict") != "ok")).select(
         "verdict", "entity", value.alias("value")
     )
@@ -66,7 +65,7 @@ def typed_view(landed: DataFrame, golden: DataFrame, entity: str) -> DataFrame:
         .collect()
     ]
     rows = landed.where((F.col("verdict") == "ok") & (F.col("entity") == entity.lower()))
-    return rows.select(
+    return rows.withColumn("fields", split_fields(F.col("line"))).select(
         *[F.nullif(F.get("fields", F.lit(i)), F.lit("")).alias(t) for i, t in enumerate(titles)],
         "load_flag",
         "job_id",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedlake.functions.manifest import manifest_entry, manifest_line
 from feedlake.functions.paths import directory, entity_of, file_name
 from feedlake.functions.rows import with_audit
-from feedlake.functions.text import is_blank, join_fields, split_fields
+from feedlake.functions.text import is_blank
 from feedlake.operators.filters import allowed, for_entity
 from feedlake.operators.joins import (
     against_listing,
@@ -184,10 +184,8 @@ def manifest_load(
 
 def _manifest_output(entries: DataFrame, controls: DataFrame) -> DataFrame:
     rows = with_job_id(entries, directory(F.col("manifest_path")), controls)
-    fields = with_audit(
-        split_fields(F.col("line")), F.col("job_id"), file_name(F.col("manifest_path"))
-    )
-    return rows.select("manifest_path", join_fields(fields).alias("value"))
+    line = with_audit(F.col("line"), F.col("job_id"), file_name(F.col("manifest_path")))
+    return rows.select("manifest_path", line.alias("value"))
 
 
 def _control_output(

@@ -34,7 +34,7 @@ from feedlake.functions.text import RS
 ROUTED_COLUMNS = (
     "verdict",
     "entity",
-    "fields",
+    "line",
     "n_fields",
     "load_flag",
     "job_id",
@@ -47,7 +47,7 @@ ROUTED_COLUMNS = (
 )
 
 ROUTED_SCHEMA = (
-    "verdict string, entity string, fields array<string>, n_fields int, load_flag string, "
+    "verdict string, entity string, line string, n_fields int, load_flag string, "
     "job_id string, source_file string, file_path string, org_id string, feed_date string, "
     "file_verdict string, extra_columns array<string>"
 )
@@ -178,7 +178,7 @@ def routed_rows(
     headers = materialise(prepared(heads.withColumn("layout_id", F.md5(signature))))
     good = headers.where(F.col("file_verdict") == "ok")
     split = with_layouts(
-        large_file_records(spark, paths, keep).where(~is_header_record()),
+        large_file_records(spark, paths, keep, big).where(~is_header_record()),
         good,
         broadcast_bytes,
         2 * whole_file_bytes(spark),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions import header, manifest, paths, rows, text
-from feedlake.functions.text import RS, US, join_fields, split_fields
+from feedlake.functions.text import RS, US
 from feedlake.operators import audit, filters, joins, schema, sinks
 from feedlake.operators.rows import FILE_RECORD, route
 from feedlake.plans import exports
@@ -419,38 +419,33 @@ def numeric_positions(spark, folder):
 # -- rows ---------------------------------------------------------------------------------------
 
 
-def _ints(*values: int) -> Column:
+def _array(*values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
 def reorder_columns(spark, folder):
-    names = F.when(
-        F.col("c_mktsegment") == "BUILDING", F.array(F.lit("seg"), F.lit("name"), F.lit("key"), F.lit("name"))
-    ).otherwise(F.array(F.lit("key"), F.lit("bal"), F.lit("seg"), F.lit("more")))
-    golden = F.array(F.lit("key"), F.lit("name"), F.lit("seg"))
+    names = F.when(F.col("c_mktsegment") == "BUILDING", _array("seg", "name", "key", "name")).otherwise(
+        _array("key", "bal", "seg", "more")
+    )
+    positions = header.golden_positions(names, _array("key", "name", "seg"))
     line = F.concat_ws(US, _s("c_custkey"), "c_name", "c_mktsegment", F.lit(""))
-    no_pii = F.array(F.lit(False), F.lit(False), F.lit(False))
-    return table(spark, folder, "customer").select(
-        "c_custkey",
-        join_fields(rows.to_golden_order(split_fields(line), header.golden_positions(names, golden), no_pii)).alias("value"),
+    moved = rows.to_golden_order(
+        line, rows.all_fields_pattern(names), rows.golden_text(positions, _array(False, False, False))
     )
+    return table(spark, folder, "customer").select("c_custkey", moved.alias("value"))
 
 
 def pii_blank(spark, folder):
     line = F.concat_ws(US, "c_name", _s("c_custkey"), "c_mktsegment", F.lit("beyond"))
-    fields = split_fields(line)
+    known, pii = _array(True, True, False), _array(True, False, False)
+    source = rows.blank_personal(line, rows.source_pattern(known, pii), rows.source_text(known))
+    golden = rows.to_golden_order(
+        line,
+        rows.all_fields_pattern(_array("name", "key", "seg", "more")),
+        rows.golden_text(_array(2, 1, 0), _array(False, True, False)),
+    )
     return table(spark, folder, "customer").select(
-        "c_custkey",
-        join_fields(
-            rows.blank_personal(
-                fields,
-                F.array(F.lit(True), F.lit(True), F.lit(False)),
-                F.array(F.lit(True), F.lit(False), F.lit(False)),
-            )
-        ).alias("source_order"),
-        join_fields(rows.to_golden_order(fields, _ints(2, 1, 0), F.array(F.lit(False), F.lit(True), F.lit(False)))).alias(
-            "golden_order"
-        ),
+        "c_custkey", source.alias("source_order"), golden.alias("golden_order")
     )
 
 
@@ -465,7 +460,7 @@ def numeric_check(spark, folder):
         .when(F.col("c") > 10000, _cat("99999999999999", cents))
         .otherwise(_cat(".", cents, "d"))
     )
-    fields = F.array(F.lit("+5"), F.col("v"), F.lit("text"))
+    pattern = rows.numbers_pattern(_array("a", "b", "c"), _array(0, 1, 7))
     return (
         table(spark, folder, "events")
         .select("event_id", "event_type", _cents("value").alias("c"))
@@ -473,7 +468,7 @@ def numeric_check(spark, folder):
         .select(
             "event_id",
             rows.is_number_text(F.col("v")).alias("is_number"),
-            rows.numbers_ok(fields, _ints(0, 1, 7)).alias("row_ok"),
+            rows.numbers_ok(F.concat_ws(US, F.lit("+5"), "v", F.lit("text")), pattern).alias("row_ok"),
         )
     )
 
@@ -483,17 +478,17 @@ def arity_check(spark, folder):
         _cat(US, "", US, "x")
     )
     line = F.concat(F.concat_ws(US, _s("l_orderkey"), _s("l_linenumber"), "l_linestatus"), tail)
-    width = F.size(split_fields(line))
+    width = rows.field_count(line)
     return table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", width.alias("n_fields"), (width == 4).alias("arity_ok")
     )
 
 
 def audit_columns(spark, folder):
-    fields = split_fields(F.concat_ws(US, _s("o_orderkey"), "o_orderstatus", F.lit("")))
+    line = F.concat_ws(US, _s("o_orderkey"), "o_orderstatus", F.lit(""))
     name = _cat("orders_", _day("o_orderdate"), ".asv")
     return table(spark, folder, "orders").select(
-        "o_orderkey", join_fields(rows.with_audit(fields, _cat("JOB", _s("o_custkey")), name)).alias("value")
+        "o_orderkey", rows.with_audit(line, _cat("JOB", _s("o_custkey")), name).alias("value")
     )
 
 
@@ -554,7 +549,7 @@ def routed_customers(spark, folder):
 def route_rows(spark, folder):
     routed = routed_customers(spark, folder)
     is_file = F.col("verdict") == FILE_RECORD
-    line = join_fields(rows.with_audit(F.col("fields"), F.lit("J1"), _cat("customer_", F.col("org_id"))))
+    line = rows.with_audit(F.col("line"), F.lit("J1"), _cat("customer_", F.col("org_id")))
     return routed.select(
         "c_custkey",
         "org_id",
@@ -611,7 +606,6 @@ def _lists(spark) -> AllowLists:
 
 
 def _load_result(landed: DataFrame) -> DataFrame:
-    fields = F.concat("fields", F.array("load_flag", "job_id"))
     return landed.select(
         "verdict",
         "entity",
@@ -619,7 +613,7 @@ def _load_result(landed: DataFrame) -> DataFrame:
         "feed_date",
         "file_verdict",
         "n_fields",
-        join_fields(fields).alias("value"),
+        F.concat("line", F.lit(US), "load_flag", F.lit(US), "job_id").alias("value"),
     )
 
 

@@ -13,15 +13,17 @@ Two scans cover every file exactly once, by size:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.functions.paths import file_kind
+from feedlake.functions.paths import directory, entity_of, file_kind, file_name
 from feedlake.functions.text import HEADER_RECORDS, RS
-from feedlake.scale import conf_bytes, materialise, shared_dir
+from feedlake.scale import conf_bytes, literal_values, materialise, shared_dir
 
 
 
@@ -106,9 +108,42 @@ def small_files(spark: SparkSession, paths: Sequence[str], keep: Column) -> Data
     )
 
 
-def large_file_records(spark: SparkSession, paths: Sequence[str], keep: Column) -> DataFrame | None:
-    """(file_path, block_start, block_row, value) of the records of large files."""
-    scan = _load(spark, paths, whole=False)
+def _below(folders: list[str]) -> list[str]:
+    """Folders without those that stand below another one; globs take them literally."""
+    kept: list[str] = []
+    for folder in sorted(folders):
+        if not (kept and folder.startswith(kept[-1])):
+            kept.append(folder)
+    return [re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(f)) for f in kept]
+
+
+def places_of(files: DataFrame) -> tuple[list[str], str] | None:
+    """Folders of the files and a glob for their names, None when there are too many.
+
+    A scan that is narrowed this way needs no predicate on the path of every record.
+    """
+    path = F.col("file_path")
+    folders = literal_values(files.select(directory(path).alias("dir")), "dir")
+    prefixes = literal_values(files.select(entity_of(file_name(path)).alias("p")), "p")
+    if not folders or not prefixes or any(re.search(r"[^\w.-]", p) for p in prefixes):
+        return None
+    return _below(folders), "{" + ",".join(sorted(prefixes)) + "}_*"
+
+
+def large_file_records(
+    spark: SparkSession, paths: Sequence[str], keep: Column, files: DataFrame | None = None
+) -> DataFrame | None:
+    """(file_path, block_start, block_row, value) of the records of large files.
+
+    With ``files`` the scan covers their folders; it may still hold files that are not listed.
+    """
+    narrowed = places_of(files) if files is not None else None
+    if narrowed is not None:
+        reader = spark.read.option("recursiveFileLookup", "true")
+        scan = reader.text(narrowed[0], lineSep=RS, pathGlobFilter=narrowed[1])
+        keep = F.lit(True)
+    else:
+        scan = _load(spark, paths, whole=False)
     if scan is None:
         return None
     return scan.where((_meta("file_size") > whole_file_bytes(spark)) & keep).select(
@@ -149,6 +184,7 @@ def data_records(spark: SparkSession, paths: Sequence[str], keep: Column) -> Dat
 
 # -- headers of large files ---------------------------------------------------------------------
 
+_OPENS_PER_TASK = 32
 _CHUNK = 1 << 16
 _HEAD_LIMIT = 16 << 20
 
@@ -203,7 +239,7 @@ def large_file_headers(spark: SparkSession, files: DataFrame, paths: Sequence[st
     scan. A file without a header keeps null titles and is rejected later.
     """
     wanted = files.where(F.col("file_size") > whole_file_bytes(spark)).select("file_path")
-    tasks = 4 * spark.sparkContext.defaultParallelism
+    tasks = max(1, min(4 * spark.sparkContext.defaultParallelism, wanted.count() // _OPENS_PER_TASK))
     heads = materialise(
         wanted.repartition(tasks).mapInPandas(
             head_reader(), "file_path string, titles string, types string"
@@ -212,7 +248,7 @@ def large_file_headers(spark: SparkSession, files: DataFrame, paths: Sequence[st
     missing = heads.where(F.col("titles").isNull()).select("file_path")
     if missing.isEmpty():
         return heads
-    records = large_file_records(spark, paths, keep).where(is_header_record())
+    records = large_file_records(spark, paths, keep, wanted).where(is_header_record())
     scanned = records.groupBy("file_path").agg(
         F.max(F.when(F.col("block_row") == 0, F.col("value"))).alias("titles"),
         F.max(F.when(F.col("block_row") == 1, F.col("value"))).alias("types"),

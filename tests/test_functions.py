@@ -131,7 +131,8 @@ GOLDEN = "context_id,context_name,context_parentcontextid,patient_id,chart_id,ty
 def reordered(spark, names, golden, row):
     positions = header.golden_positions(header.normalise_all(F.col("n")), F.col("g"))
     no = F.transform(F.col("g"), lambda g: F.lit(False))
-    return one(spark, rows.to_golden_order(F.col("r"), positions, no), n=names, g=golden, r=row)
+    moved = rows.to_golden_order(F.col("r"), rows.all_fields_pattern(F.col("n")), rows.golden_text(positions, no))
+    return one(spark, moved, n=names, g=golden, r=US.join(row)).split(US)
 
 
 def test_reorder(spark):
@@ -171,13 +172,24 @@ def test_number_positions(spark):
     assert one(spark, header.number_positions(types)) == [0, 2]
 
 
+def blanked(spark, line, known, pii):
+    k, p = F.col("k"), F.col("p")
+    out = rows.blank_personal(F.col("r"), rows.source_pattern(k, p), rows.source_text(k))
+    return one(spark, out, r=US.join(line), k=known, p=pii).split(US)
+
+
 def test_personal_data(spark):
-    line = ["data", "data", "PIIDATA"]
-    pii = F.array(F.lit(False), F.lit(False), F.lit(True))
-    known = F.array(F.lit(True), F.lit(True), F.lit(True))
-    assert one(spark, rows.blank_personal(F.col("r"), known, pii), r=line) == ["data", "data", ""]
-    unknown = F.array(F.lit(False), F.lit(True), F.lit(True))
-    assert one(spark, rows.blank_personal(F.col("r"), unknown, pii), r=[*line, "beyond"]) == ["data", ""]
+    line, pii = ["data", "data", "PIIDATA"], [False, False, True]
+    assert blanked(spark, line, [True] * 3, pii) == ["data", "data", ""]
+    assert blanked(spark, [*line, "beyond"], [False, True, True], pii) == ["data", ""]
+    assert blanked(spark, line[:2], [True] * 3, pii) == ["data", "data"]
+    assert blanked(spark, line, [True] * 3, [True, False, False]) == ["", "data", "PIIDATA"]
+    assert blanked(spark, ["a$1\\", "", ""], [True] * 3, [False] * 3) == ["a$1\\", "", ""]
+    assert blanked(spark, line, [False] * 3, [False] * 3) == [""]
+    wide = [str(i) for i in range(150)]
+    assert blanked(spark, wide, [True] * 150, [i == 120 for i in range(150)]) == wide[:120] + [""] + wide[121:]
+
+
     flags = catalog.has_personal_data(
         spark.createDataFrame(
             [("a", 1, "x", "Remove"), ("a", 2, "y", None), ("b", 1, "x", "removed")],
@@ -187,21 +199,23 @@ def test_personal_data(spark):
     assert {r["entity"]: r["has_pii"] for r in flags.collect()} == {"a": True, "b": False}
 
 
-@pytest.mark.parametrize("value", ["", "22", " 12 ", "+5", "-7", "1.", ".5", "1.0d", "1.5f", "1.0e3", " 1.5 ", "9223372036854775807"])
+@pytest.mark.parametrize("value", ["", "22", " 12 ", "+5", "-7", "1.", ".5", "1.0d", "1.5f", "1.0e3", " 1.5 ", "9223372036854775807", "-9223372036854775808", "0" * 30 + "7", "0" * 40, "9223372036854775799", "0x1.0p3", "-.5e-3F"])
 def test_numbers_accepted(spark, value):
     assert one(spark, rows.is_number_text(F.col("v")), v=value) is True
 
 
-@pytest.mark.parametrize("value", ["1e5", "12L", "NaN", ".", " ", "x", "1.2.3", "9223372036854775808", "1,000", "--1"])
+@pytest.mark.parametrize("value", ["1e5", "12L", "NaN", ".", " ", "x", "1.2.3", "9223372036854775808", "-9223372036854775809", "9999999999999999999", "12345678901234567890", "1,000", "--1", "1.e", "0x1.0", "+", "1 2"])
 def test_numbers_rejected(spark, value):
     assert one(spark, rows.is_number_text(F.col("v")), v=value) is False
 
 
 def test_number_row(spark):
-    line = ["2222222222", "22", "Hey"]
-    assert one(spark, rows.numbers_ok(F.col("r"), F.array(F.lit(0), F.lit(1))), r=line) is True
-    assert one(spark, rows.numbers_ok(F.col("r"), F.array(F.lit(2))), r=line) is False
-    assert one(spark, rows.numbers_ok(F.col("r"), F.array(F.lit(9))), r=line) is True
+    line = US.join(["2222222222", "22", "Hey"])
+    for positions, expected in (([0, 1], True), ([2], False), ([0, 2], False), ([9], True)):
+        pattern = rows.numbers_pattern(F.array(*map(F.lit, "abc")), F.array(*map(F.lit, positions)))
+        assert one(spark, rows.numbers_ok(F.col("r"), pattern), r=line) is expected
+    none = rows.numbers_pattern(F.array(F.lit("a")), F.array().cast("array<int>"))
+    assert one(spark, rows.numbers_ok(F.col("r"), none), r="x") is True
 
 
 @pytest.mark.parametrize("names,types,golden,verdict", [
@@ -231,7 +245,7 @@ def layout_of(spark, titles, types, golden, pii):
 
 def routed(spark, layout, values, **kw):
     records = spark.createDataFrame([(v,) for v in values], "value string").join(layout)
-    return [(r["verdict"], r["fields"]) for r in route(records, **kw).collect()]
+    return [(r["verdict"], r["line"].split(US)) for r in route(records, **kw).collect()]
 
 
 def test_extra_column_with_personal_data(spark):

@@ -19,7 +19,7 @@ def by_verdict(rows):
     out = {}
     for r in rows.collect():
         key = (r["verdict"], r["source_file"])
-        value = r["file_verdict"] if r["verdict"] == "file" else tuple(r["fields"])
+        value = r["file_verdict"] if r["verdict"] == "file" else tuple(r["line"].split(US))
         out.setdefault(key, []).append(value)
     return {k: sorted(v) for k, v in out.items()}
 
@@ -105,7 +105,7 @@ def many(landing, n=400):
 
 def snapshot(loaded):
     return sorted(
-        (r["verdict"], r["source_file"], r["file_verdict"] or "", tuple(r["fields"] or ()), r["job_id"])
+        (r["verdict"], r["source_file"], r["file_verdict"] or "", r["line"] or "", r["job_id"])
         for r in loaded.rows.collect()
     )
 
@@ -262,7 +262,7 @@ def test_arrivals(spark, landing, golden, lists, tmp_path):
         query.awaitTermination()
         assert query.exception() is None
         rows = spark.read.option("basePath", out).parquet(out + "/batch=*").where("verdict = 'ok'")
-        return sorted((r["batch"], r["fields"][0], r["job_id"]) for r in rows.collect())
+        return sorted((r["batch"], r["line"].split(US)[0], r["job_id"]) for r in rows.collect())
 
     landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, [["1", "n", "1"]])
     landing.control("416", "2015-09-01", "J1")
