@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,10 +72,27 @@ def _entity_predicate(entities: DataFrame, rules: Rules) -> Column:
     return _all([path_is_in(F.upper(entity_of(file_name(_path()))), wanted, "entity")])
 
 
-def _allowed_files(files: DataFrame, lists: AllowLists, rules: Rules) -> DataFrame:
-    entity = F.upper(entity_of(file_name(F.col("file_path"))))
-    data = files.where(F.col("kind") == "data")
-    return for_entity(allowed(data, entity, lists.entities, "entity"), entity, rules.entity)
+def _practice_predicate(lists: AllowLists, rules: Rules) -> Column:
+    return _all([path_is_in(F.upper(rules.layout.org_id(_path())), lists.practices, "practice_id")])
+
+
+def directories_load(
+    spark: SparkSession, paths: Sequence[str], lists: AllowLists, golden: DataFrame, rules: Rules
+) -> Load:
+    """Every allowed entity file of allowed practices below the paths."""
+    in_practice = _practice_predicate(lists, rules)
+    found = inventory(spark, paths, in_practice)
+    path = F.col("file_path")
+    entity = F.upper(entity_of(file_name(path)))
+    data = allowed(found.where(F.col("kind") == "data"), entity, lists.entities, "entity")
+    practice = F.upper(rules.layout.org_id(path))
+    files = materialise(
+        for_entity(allowed(data, practice, lists.practices, "practice_id"), entity, rules.entity)
+    )
+    keep = in_practice & _entity_predicate(lists.entities, rules)
+    controls = _controls(spark, paths, found, rules)
+    rows = routed_rows(spark, paths, keep, files, golden, controls, rules, only_listed=True)
+    return Load(rows=rows, files=files)
 
 
 def directory_load(
@@ -86,26 +104,15 @@ def directory_load(
     rules: Rules = Rules(),
 ) -> Load:
     """Load every allowed entity file below the directories of allowed practices."""
-    path = landing_path(input_path, date)
-    org = F.upper(rules.layout.org_id(_path()))
-    orgs = path_is_in(org, lists.practices, "practice_id")
-    found = inventory(spark, [path], orgs)
-    practice = F.upper(rules.layout.org_id(F.col("file_path")))
-    files = materialise(
-        allowed(_allowed_files(found, lists, rules), practice, lists.practices, "practice_id")
-    )
-    entities = _entity_predicate(lists.entities, rules)
-    controls = _controls(spark, path, found, rules)
-    rows = routed_rows(
-        spark, [path], _all([orgs, entities]), files, golden, controls, rules, only_listed=True
-    )
-    return Load(rows=rows, files=files)
+    return directories_load(spark, [landing_path(input_path, date)], lists, golden, rules)
 
 
-def _controls(spark: SparkSession, path: str, found: DataFrame, rules: Rules) -> DataFrame:
+def _controls(
+    spark: SparkSession, paths: Sequence[str], found: DataFrame, rules: Rules
+) -> DataFrame:
     if found.where(F.col("kind") == "control").isEmpty():
         return spark.createDataFrame([], "dir string, job_id string")
-    return materialise(control_table(spark, [path], rules.job_field))
+    return materialise(control_table(spark, paths, rules.job_field))
 
 
 def manifest_entries(records: DataFrame) -> DataFrame:
@@ -139,7 +146,7 @@ def manifest_load(
     division = rules.layout.org_id(_path())
     is_division = _all([path_is_in(division, lists.divisions, "org_id")])
     found = inventory(spark, [everywhere])
-    controls = _controls(spark, everywhere, found, rules)
+    controls = _controls(spark, [everywhere], found, rules)
 
     records = data_records(spark, [path], is_division & F.contains(F.upper(_path()), F.lit("MANIFEST")))
     entries = materialise(
@@ -164,7 +171,7 @@ def manifest_load(
     files = materialise(found.join(wanted, "file_path", "left_semi"))
     keep = _all(
         [
-            path_is_in(F.upper(rules.layout.org_id(_path())), lists.practices, "practice_id"),
+            _practice_predicate(lists, rules),
             _entity_predicate(lists.entities, rules),
             path_is_in(_path(), files, "file_path"),
         ]

@@ -7,8 +7,10 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake.operators import audit, sinks
+from feedlake.operators.filters import facility_route
 from feedlake.plans.ingest import AllowLists, Load, directory_load, manifest_load
 from feedlake.plans.load import Rules
 
@@ -98,3 +100,32 @@ def run(
     sinks.append_status(spark, status, *who, "load", state, message)
     sinks.append_work(spark, f"{out.audit}/work_queue", *who, "loaded")
     return outcome
+
+
+def requested_runs(controls: DataFrame, divisions: DataFrame, source: str) -> DataFrame:
+    """(job_id, facility, from_date, run_type, run_source): what the control files ask for."""
+    asked = controls.select("job_id", "facility", "from_date", F.lit(source).alias("source"))
+    return facility_route(asked, F.col("facility"), F.col("source"), divisions).drop("source")
+
+
+def run_requested(
+    spark: SparkSession,
+    controls: DataFrame,
+    source: str,
+    lists: AllowLists,
+    golden: DataFrame,
+    root: str,
+    rules: Rules = Rules(),
+) -> list[str]:
+    """One load per control file, into ``{root}/{job_id}``; returns the job ids.
+
+    A facility on the division list, or the id that stands for all divisions, is loaded by its
+    manifests, any other one by its directories.
+    """
+    runs = requested_runs(controls, lists.divisions, source).collect()
+    for r in runs:
+        kind = "path" if r["run_type"] == "path" else "divisional"
+        context = RunContext(r["job_id"], r["facility"], r["run_source"])
+        out = Outputs(f"{root}/{r['job_id']}")
+        run(spark, kind, r["run_source"], r["from_date"], lists, golden, out, rules, context)
+    return [r["job_id"] for r in runs]

@@ -14,7 +14,7 @@ Two scans cover every file exactly once, by size:
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -48,21 +48,25 @@ def _text(spark: SparkSession, paths: Sequence[str], whole: bool) -> DataFrame:
     return reader.text(list(paths), lineSep=RS)
 
 
-def _load(spark: SparkSession, paths: Sequence[str], whole: bool) -> DataFrame | None:
-    """Text scan over paths and globs, leaving out those without a match; None if all are."""
+def _existing(read: Callable[[list[str]], DataFrame], paths: Sequence[str]) -> DataFrame | None:
+    """Read paths and globs, leaving out those without a match; None if all are."""
     found = list(paths)
     while found:
         try:
-            return _text(spark, found, whole)
+            return read(found)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             if len(found) == 1:
                 return None
-        found = [p for p in found if _load(spark, [p], whole) is not None]
+        found = [p for p in found if _existing(read, [p]) is not None]
     return None
 
 
+def _load(spark: SparkSession, paths: Sequence[str], whole: bool) -> DataFrame | None:
+    return _existing(lambda found: _text(spark, found, whole), paths)
+
+
 def inventory(spark: SparkSession, paths: Sequence[str], keep: Column | None = None) -> DataFrame:
     """Table of the files below the paths: path, size, time of change and kind.
 
@@ -75,26 +79,19 @@ def inventory(spark: SparkSession, paths: Sequence[str], keep: Column | None = N
         if spark.conf.isModifiable(key):
             listing.conf.set(key, value)
     listing.conf.set("spark.sql.files.maxPartitionNum", _LISTING_TASKS)
-    target = shared_dir(spark)
-    wrote = False
-    for path in paths:
-        try:
-            files = listing.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        if keep is not None:
-            files = files.where(keep)
-        files.select(
-            _meta("file_path").alias("file_path"),
-            _meta("file_size").alias("file_size"),
-            _meta("file_modification_time").alias("modified"),
-            file_kind(_meta("file_path")).alias("kind"),
-        ).write.mode("append").parquet(target)
-        wrote = True
-    if not wrote:
+    reader = listing.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = _existing(reader.load, paths)
+    if files is None:
         return spark.createDataFrame([], INVENTORY)
+    if keep is not None:
+        files = files.where(keep)
+    target = shared_dir(spark)
+    files.select(
+        _meta("file_path").alias("file_path"),
+        _meta("file_size").alias("file_size"),
+        _meta("file_modification_time").alias("modified"),
+        file_kind(_meta("file_path")).alias("kind"),
+    ).write.parquet(target)
     return spark.read.schema(INVENTORY).parquet(target)
 
 

@@ -6,14 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedlake.functions.paths import CONTROL_NAME, directory, entity_of, file_name
-from feedlake.operators.filters import allowed, for_entity
-from feedlake.operators.sinks import write_rows
-from feedlake.plans.ingest import AllowLists
-from feedlake.plans.load import Rules, routed_rows
-from feedlake.scale import materialise
-from feedlake.sources.control import control_table
-from feedlake.sources.framed import inventory
+from feedlake.functions.paths import CONTROL_NAME, directory
+from feedlake.operators.sinks import wants_compaction, write_rows
+from feedlake.plans.ingest import AllowLists, directories_load
+from feedlake.plans.load import Rules
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -51,28 +47,17 @@ def load_arrivals(
     ``batch={id}`` folder, so a batch that is repeated after a failure changes nothing.
     """
 
-    def load(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         dirs = [r["dir"] for r in batch.distinct().collect()]
         if not dirs:
             return
-        found = inventory(session, dirs)
-        path = F.col("file_path")
-        entity = F.upper(entity_of(file_name(path)))
-        practice = F.upper(rules.layout.org_id(path))
-        data = allowed(found.where(F.col("kind") == "data"), entity, lists.entities, "entity")
-        files = materialise(
-            for_entity(allowed(data, practice, lists.practices, "practice_id"), entity, rules.entity)
-        )
-        controls = materialise(control_table(session, dirs, rules.job_field))
-        rows = routed_rows(
-            session, dirs, F.lit(True), files, golden, controls, rules, only_listed=True
-        )
-        write_rows(rows, f"{out}/batch={batch_id}")
+        load = directories_load(session, dirs, lists, golden, rules)
+        write_rows(load.rows, f"{out}/batch={batch_id}", compact=wants_compaction(load.files))
 
     return (
         arrivals(spark, glob, max_controls)
-        .writeStream.foreachBatch(load)
+        .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -271,3 +271,21 @@ def test_arrivals(spark, landing, golden, lists, tmp_path):
     assert poll() == [(0, "1", "J1")]
     landing.control("1267", "2015-09-01", "J2")
     assert poll() == [(0, "1", "J1"), (1, "2", "J2")]
+
+
+def test_requested_runs(spark, landing, golden, lists, tmp_path):
+    from feedlake.plans.job import run_requested
+    from feedlake.sources.control import control_table
+
+    landing.manifest("2208", "2015-09-01", [["allergy_4.0_20150901090417_1267.asv", "2", "h", "t"]])
+    for org in ("416", "1267"):
+        landing.entity(org, "2015-09-01", "allergy", A_TITLES, A_TYPES, [[org, "n", "1"]])
+    for org in ("416", "2208"):
+        landing.put(f"drop{org}", "x", "CONTROL.TXT", f"{org}~2015-09-01~2015-09-01~JOB{org}~/x\nmore\n")
+    controls = control_table(spark, [str(landing.root / "data" / "drop*")])
+    jobs = run_requested(spark, controls, landing.source, lists, golden, str(tmp_path))
+    assert sorted(jobs) == ["JOB2208", "JOB416"]
+    loaded = {j: [r["line"] for r in spark.read.parquet(f"{tmp_path}/{j}/rows").where("verdict = 'ok'").collect()] for j in jobs}
+    assert loaded == {"JOB416": [US.join(["416", "n", "1"])], "JOB2208": [US.join(["1267", "n", "1"])]}
+    status = spark.read.parquet(f"{tmp_path}/JOB416/audit/status").where("state = 'completed'").first()
+    assert (status["job_id"], status["facility"]) == ("JOB416", "416")
