@@ -58,30 +58,38 @@ def landing_path(input_path: str, date: str) -> str:
     return f"{input_path.rstrip('/')}/{date}"
 
 
-def _all(predicates: list[Column | None]) -> Column:
-    result = F.lit(True)
-    for p in predicates:
-        if p is not None:
-            result = result & p
-    return result
+@dataclass(frozen=True)
+class Pruning:
+    """Predicates over file metadata; ``exact`` when they let through nothing but the wanted files."""
+
+    predicate: Column
+    exact: bool
+
+    def __and__(self, other: Pruning) -> Pruning:
+        return Pruning(self.predicate & other.predicate, self.exact and other.exact)
+
 
+def _in_list(column: Column, allow: DataFrame, name: str) -> Pruning:
+    """Small lists prune files before they are opened; the rest of a long one is left to a join."""
+    predicate = path_is_in(column, allow, name)
+    return Pruning(F.lit(True), False) if predicate is None else Pruning(predicate, True)
 
-def _entity_predicate(entities: DataFrame, rules: Rules) -> Column:
-    """Small allow-lists prune files before they are opened."""
+
+def _in_entities(entities: DataFrame, rules: Rules) -> Pruning:
     wanted = for_entity(entities, F.col("entity"), rules.entity)
-    return _all([path_is_in(F.upper(entity_of(file_name(_path()))), wanted, "entity")])
+    return _in_list(F.upper(entity_of(file_name(_path()))), wanted, "entity")
 
 
-def _practice_predicate(lists: AllowLists, rules: Rules) -> Column:
-    return _all([path_is_in(F.upper(rules.layout.org_id(_path())), lists.practices, "practice_id")])
+def _in_practices(lists: AllowLists, rules: Rules) -> Pruning:
+    return _in_list(F.upper(rules.layout.org_id(_path())), lists.practices, "practice_id")
 
 
 def directories_load(
     spark: SparkSession, paths: Sequence[str], lists: AllowLists, golden: DataFrame, rules: Rules
 ) -> Load:
     """Every allowed entity file of allowed practices below the paths."""
-    in_practice = _practice_predicate(lists, rules)
-    found = inventory(spark, paths, in_practice)
+    practices = _in_practices(lists, rules)
+    found = inventory(spark, paths, practices.predicate)
     path = F.col("file_path")
     entity = F.upper(entity_of(file_name(path)))
     data = allowed(found.where(F.col("kind") == "data"), entity, lists.entities, "entity")
@@ -89,9 +97,11 @@ def directories_load(
     files = materialise(
         for_entity(allowed(data, practice, lists.practices, "practice_id"), entity, rules.entity)
     )
-    keep = in_practice & _entity_predicate(lists.entities, rules)
+    wanted = practices & _in_entities(lists.entities, rules)
     controls = _controls(spark, paths, found, rules)
-    rows = routed_rows(spark, paths, keep, files, golden, controls, rules, only_listed=True)
+    rows = routed_rows(
+        spark, paths, wanted.predicate, files, golden, controls, rules, only_listed=not wanted.exact
+    )
     return Load(rows=rows, files=files)
 
 
@@ -144,7 +154,7 @@ def manifest_load(
     path = landing_path(input_path, date)
     everywhere = rules.layout.any_org(path)
     division = rules.layout.org_id(_path())
-    is_division = _all([path_is_in(division, lists.divisions, "org_id")])
+    is_division = _in_list(division, lists.divisions, "org_id").predicate
     found = inventory(spark, [everywhere])
     controls = _controls(spark, [everywhere], found, rules)
 
@@ -169,15 +179,18 @@ def manifest_load(
     named = expanded.where("found").select("file_path").distinct()
     wanted = for_entity(named, entity_of(file_name(F.col("file_path"))), rules.entity)
     files = materialise(found.join(wanted, "file_path", "left_semi"))
-    keep = _all(
-        [
-            _practice_predicate(lists, rules),
-            _entity_predicate(lists.entities, rules),
-            path_is_in(_path(), files, "file_path"),
-        ]
-    )
+    by_path = _in_list(_path(), files, "file_path")
+    if not by_path.exact:
+        by_path = by_path & _in_practices(lists, rules) & _in_entities(lists.entities, rules)
     rows = routed_rows(
-        spark, [everywhere], keep, files, golden, controls, rules, only_listed=True
+        spark,
+        [everywhere],
+        by_path.predicate,
+        files,
+        golden,
+        controls,
+        rules,
+        only_listed=not by_path.exact,
     )
     return Load(
         rows=rows,

@@ -9,7 +9,7 @@ _DAY = "strftime(o_orderdate, '%Y-%m-%d')"
 _ORDER_LINE = f"concat_ws('~', o_custkey, {_DAY}, {_DAY}, 'JOB' || o_orderkey, '/land/data/' || o_custkey || '/feed/finished/' || {_DAY} || '/')"
 
 _CATALOG = """
-SELECT CASE WHEN p_retailprice < 950 THEN 'stage' ELSE 'edw' END AS databasename,
+SELECT CASE WHEN p_retailprice < 905 THEN 'stage' ELSE 'edw' END AS databasename,
   CASE WHEN p_type = 'PROMO' THEN p_brand ELSE lower(p_brand) END AS tablename,
   CASE WHEN p_type = 'ECONOMY' THEN '' ELSE p_name || ' ' || p_partkey END AS columntitle,
   p_partkey AS columnid,

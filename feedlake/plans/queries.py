@@ -298,7 +298,7 @@ def _catalog_columns(spark, folder):
         .otherwise("note")
     )
     return table(spark, folder, "part").select(
-        F.when(F.col("p_retailprice") < 950, "stage").otherwise("edw").alias("databasename"),
+        F.when(F.col("p_retailprice") < 905, "stage").otherwise("edw").alias("databasename"),
         F.when(F.col("p_type") == "PROMO", F.col("p_brand")).otherwise(F.lower("p_brand")).alias("tablename"),
         F.when(F.col("p_type") == "ECONOMY", "").otherwise(_cat(F.initcap("p_name"), " ", _s("p_partkey"))).alias("columntitle"),
         _s("p_partkey").alias("columnid"),

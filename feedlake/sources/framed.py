@@ -134,6 +134,8 @@ def large_file_records(
 
     With ``files`` the scan covers their folders; it may still hold files that are not listed.
     """
+    if spark.conf.get("spark.sql.files.maxPartitionNum", None):
+        raise ValueError("unset spark.sql.files.maxPartitionNum: it packs files after their splits")
     narrowed = places_of(files) if files is not None else None
     if narrowed is not None:
         reader = spark.read.option("recursiveFileLookup", "true")
