@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from feedlake.functions.text import US
 
 LOAD_FLAG = "0"  # fixed first audit field
+WIDE = 800  # columns; a match recurses per column, so wider rows take the array functions below
 
 _FIELD = r"[^\x1f]*+"
 _SPACE = r"[\x00-\x1e\x20]*+"  # what a trim removes, without the field separator
@@ -135,5 +136,29 @@ def numbers_ok(value: Column, pattern: Column) -> Column:
     return pattern.isNull() | (F.regexp_instr(_led(value), pattern) > 0)
 
 
+# -- per row of a very wide file ----------------------------------------------------------------
+
+
+def wide_golden_order(fields: Column, positions: Column, pii: Column) -> Column:
+    return F.array_join(
+        F.transform(
+            positions,
+            lambda p, i: F.when((p == 0) | F.get(pii, i), F.lit("")).otherwise(F.get(fields, p - 1)),
+        ),
+        US,
+    )
+
+
+def wide_blank_personal(fields: Column, known: Column, pii: Column) -> Column:
+    kept = F.transform(
+        fields, lambda v, i: F.when(F.get(pii, i), F.lit("")).when(F.get(known, i), v)
+    )
+    return F.array_join(F.filter(kept, lambda v: v.isNotNull()), US)
+
+
+def wide_numbers_ok(fields: Column, numeric: Column) -> Column:
+    return F.forall(numeric, lambda i: is_number_text(F.get(fields, i)))
+
+
 def with_audit(value: Column, job_id: Column, source_file: Column) -> Column:
     return F.concat(value, F.lit(US + LOAD_FLAG + US), job_id, F.lit(US), source_file)

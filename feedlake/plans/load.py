@@ -12,7 +12,7 @@ from feedlake.functions.paths import Layout, directory, entity_of, file_kind, fi
 from feedlake.functions.rows import LOAD_FLAG
 from feedlake.operators.joins import with_job_id
 from feedlake.operators.rows import route
-from feedlake.operators.schema import LAYOUT_COLUMNS, resolve_layout
+from feedlake.operators.schema import LAYOUT_COLUMNS, WIDE_COLUMNS, has_wide_tables, resolve_layout
 from feedlake.scale import (
     BROADCAST_BYTES,
     broadcast_if_small,
@@ -91,7 +91,8 @@ def with_layouts(records: DataFrame, headers: DataFrame, limit: int, chunk: int)
     """
     kept = ["job_id", "entity", "source_file", "org_id", "feed_date"]
     by_file = headers.select("file_path", "layout_id", *kept)
-    layouts = headers.dropDuplicates(["layout_id"]).select("layout_id", *LAYOUT_COLUMNS)
+    columns = [*LAYOUT_COLUMNS, *WIDE_COLUMNS]
+    layouts = headers.dropDuplicates(["layout_id"]).select("layout_id", *columns)
     if fits_broadcast(by_file, limit) and fits_broadcast(layouts, limit):
         return records.join(F.broadcast(by_file), "file_path").join(
             F.broadcast(layouts), "layout_id"
@@ -99,7 +100,7 @@ def with_layouts(records: DataFrame, headers: DataFrame, limit: int, chunk: int)
     ranges = headers.select(
         "file_path",
         *kept,
-        *LAYOUT_COLUMNS,
+        *columns,
         F.explode(F.sequence(F.lit(0), F.floor((F.col("file_size") - 1) / chunk))).alias("range"),
     )
     return records.withColumn("range", F.floor(F.col("block_start") / chunk)).join(
@@ -107,10 +108,10 @@ def with_layouts(records: DataFrame, headers: DataFrame, limit: int, chunk: int)
     )
 
 
-def _finished(records: DataFrame, rules: Rules) -> DataFrame:
+def _finished(records: DataFrame, rules: Rules, wide: bool) -> DataFrame:
     is_file = F.col("value").isNull()
     return (
-        route(records, rules.validate, rules.pii_extra_columns)
+        route(records, rules.validate, rules.pii_extra_columns, wide)
         .withColumn("load_flag", F.when(~is_file, LOAD_FLAG))
         .withColumn("file_verdict", F.when(is_file, F.col("file_verdict")))
         .withColumn("extra_columns", F.when(is_file, F.col("extra_columns")))
@@ -138,13 +139,15 @@ def routed_rows(
     Every file adds one record with the verdict ``file``. It carries file_verdict, the reason
     why the file was rejected or ``ok``, and the columns the catalog does not know.
     """
-    by_entity = broadcast_if_small(materialise(golden_by_entity(golden)), broadcast_bytes)
+    tables = materialise(golden_by_entity(golden))
+    wide = has_wide_tables(tables)
+    by_entity = broadcast_if_small(tables, broadcast_bytes)
     jobs = broadcast_if_small(controls.select("dir", "job_id"), broadcast_bytes)
     keep = keep & (file_kind(F.col("_metadata.file_path")) == "data")
 
     def prepared(df: DataFrame) -> DataFrame:
         described = with_job_id(_described(df, rules), directory(F.col("file_path")), jobs)
-        return resolve_layout(described.join(by_entity, "entity", "left"))
+        return resolve_layout(described.join(by_entity, "entity", "left"), wide)
 
     small = small_files(spark, paths, keep)
     if small is None:
@@ -161,7 +164,7 @@ def routed_rows(
     )
     file_record = F.array(F.lit(None).cast("string"))
     records = bodies.withColumn("value", F.explode(F.concat(file_record, "records")))
-    routed = _finished(records.drop("body", "records"), rules)
+    routed = _finished(records.drop("body", "records"), rules, wide)
 
     big = files.where(F.col("file_size") > whole_file_bytes(spark))
     if big.isEmpty():
@@ -184,4 +187,6 @@ def routed_rows(
         2 * whole_file_bytes(spark),
     )
     per_file = headers.withColumn("value", F.lit(None).cast("string"))
-    return routed.unionByName(_finished(split, rules)).unionByName(_finished(per_file, rules))
+    return routed.unionByName(_finished(split, rules, wide)).unionByName(
+        _finished(per_file, rules, wide)
+    )

@@ -289,3 +289,44 @@ def test_requested_runs(spark, landing, golden, lists, tmp_path):
     assert loaded == {"JOB416": [US.join(["416", "n", "1"])], "JOB2208": [US.join(["1267", "n", "1"])]}
     status = spark.read.parquet(f"{tmp_path}/JOB416/audit/status").where("state = 'completed'").first()
     assert (status["job_id"], status["facility"]) == ("JOB416", "416")
+
+
+@pytest.mark.parametrize("columns", [700, 1500])
+def test_wide_tables(spark, landing, lists, columns):
+    """A table of many columns in reverse order, with personal data and numbers."""
+    titles = [f"C {i}" for i in range(columns)]
+    types = ["NUMBER" if i % 2 else "VARCHAR" for i in range(columns)]
+    good = [str(i) for i in range(columns)]
+    bad = [*good[:-1], "x"]
+    landing.entity("416", "2015-09-01", "chart", titles, types, [good, bad, good[:5], [*good, "more"]])
+    landing.entity("416", "2015-09-01", "allergy", [f"x{i}" for i in range(1000)], ["X"] * 1000, [["1"] * 1000])
+    golden = spark.createDataFrame(
+        [("chart", i, f"c_{columns - 1 - i}", "remove" if i == columns - 4 else None) for i in range(columns)]
+        + [("allergy", 0, "x0", None)],
+        "entity string, column_id long, column_name string, comment string",
+    )
+    loaded = directory_load(spark, landing.source, "2015-09-01", lists, golden, Rules(validate=True))
+    got = by_verdict(loaded.rows.where("entity = 'chart'"))
+    name = "chart_4.0_20150901090417_416.asv"
+    blank = lambda row: tuple("" if i == 3 else v for i, v in enumerate(row))
+    assert got == {
+        ("file", name): ["ok"],
+        ("ok", name): [blank(good)[::-1]],
+        ("bad_number", name): [blank(bad)],
+        ("bad_arity", name): sorted([blank(good[:5]), blank(good)]),
+    }
+    other = loaded.rows.where("entity = 'allergy'")
+    assert other.where("verdict = 'ok'").first()["line"] == "1"
+    narrow = directory_load(spark, landing.source, "2015-09-01", lists, golden.where("entity = 'allergy'"), Rules(entity="allergy"))
+    assert [r["file_verdict"] for r in narrow.rows.collect()] == ["too_wide"]
+
+
+def test_part_number_limit_is_refused(spark, landing):
+    from feedlake.sources.framed import large_file_records
+
+    spark.conf.set("spark.sql.files.maxPartitionNum", "10")
+    try:
+        with pytest.raises(ValueError):
+            large_file_records(spark, [str(landing.root)], F.lit(True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
