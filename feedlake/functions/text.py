@@ -19,11 +19,17 @@ NUMBER_TYPE = "NUMBER"
 _BLANK = r"^[\x00-\x20]*$"
 
 
+def _swap(value: Column, old: str, new: str) -> Column:
+    """Literal replacement; several times faster than translate on long text."""
+    return F.replace(value, F.lit(old), F.lit(new))
+
+
 def clean_record(value: Column) -> Column:
     """CR becomes a space; LF and RS are removed. Most records have at most an LF."""
+    line = _swap(value, LF, "")
     return F.when(
-        F.contains(value, F.lit(CR)) | F.contains(value, F.lit(RS)), F.translate(value, CR + LF + RS, " ")
-    ).otherwise(F.replace(value, F.lit(LF), F.lit("")))
+        F.contains(value, F.lit(CR)) | F.contains(value, F.lit(RS)), _swap(_swap(line, CR, " "), RS, "")
+    ).otherwise(line)
 
 
 def is_blank(value: Column) -> Column:
@@ -31,7 +37,7 @@ def is_blank(value: Column) -> Column:
 
 
 def normalise_title(title: Column) -> Column:
-    return F.lower(F.translate(title, " ", "_"))
+    return F.lower(_swap(title, " ", "_"))
 
 
 def split_fields(value: Column) -> Column:
@@ -45,12 +51,12 @@ def join_fields(fields: Column) -> Column:
 
 def header_fields(value: Column) -> Column:
     """Tokens of a header record; trailing empty tokens do not count towards its width."""
-    return split_fields(F.rtrim(F.translate(value, LF + RS, ""), F.lit(US)))
+    return split_fields(F.rtrim(_swap(_swap(value, LF, ""), RS, ""), F.lit(US)))
 
 
 def control_to_fields(value: Column) -> Column:
     """Control line with the feed's field separator instead of its own."""
-    return F.translate(clean_record(value), CONTROL_SEP, US)
+    return _swap(clean_record(value), CONTROL_SEP, US)
 
 
 def upper_prefix(value: Column, sep: str) -> Column:

@@ -381,7 +381,7 @@ def schema_match(spark, folder):
 
 
 def header_map(spark, folder):
-    names = text.header_fields(F.translate("text", "\n", US))
+    names = text.header_fields(F.replace("text", F.lit("\n"), F.lit(US)))
     types = text.header_fields(F.replace("text", F.lit(". "), F.lit(US)))
     return (
         table(spark, folder, "documents")
