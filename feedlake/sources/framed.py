@@ -206,7 +206,8 @@ def head_reader(separator: bytes = RS.encode(), chunk: int = _CHUNK, limit: int
             if url.scheme in ("", "file"):
                 system, inner = fs.LocalFileSystem(), unquote(url.path)
             else:
-                system, inner = fs.FileSystem.from_uri(path)
+                scheme = "s3" if url.scheme in ("s3a", "s3n") else url.scheme
+                system, inner = fs.FileSystem.from_uri(scheme + path[len(url.scheme) :])
             with system.open_input_stream(inner) as stream:
                 while head.count(separator) < 2 and len(head) < limit:
                     block = stream.read(chunk)
@@ -247,7 +248,7 @@ def large_file_headers(spark: SparkSession, files: DataFrame, paths: Sequence[st
     missing = heads.where(F.col("titles").isNull()).select("file_path")
     if missing.isEmpty():
         return heads
-    records = large_file_records(spark, paths, keep, wanted).where(is_header_record())
+    records = large_file_records(spark, paths, keep, missing).where(is_header_record())
     scanned = records.groupBy("file_path").agg(
         F.max(F.when(F.col("block_row") == 0, F.col("value"))).alias("titles"),
         F.max(F.when(F.col("block_row") == 1, F.col("value"))).alias("types"),
