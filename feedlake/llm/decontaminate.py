@@ -26,7 +26,7 @@ from feedlake.scale import measured_bytes
 Q, WINDOW, STRIDE, SHORTEST = 8, 96, 48, 24
 EDIT_PERCENT = 10
 BLOCK_BYTES = 8 << 20
-_BITS = 22
+_BITS = 20
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 PLAIN = np.full(256, 0x20, np.uint8)
@@ -51,11 +51,10 @@ def plain(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def codes_of(data: np.ndarray) -> np.ndarray:
-    """The q-gram that starts at each byte as one number."""
-    n = max(len(data) - Q + 1, 0)
-    code = np.zeros(n, np.uint64)
-    for k in range(Q):
-        code = code << np.uint64(8) | data[k : k + n]
+    """The q-gram of 8 bytes that starts at each byte as one number, by doubling."""
+    code = data.astype(np.uint64)
+    for half in (1, 2, 4):
+        code = code[:-half] << np.uint64(8 * half) | code[half:] if len(code) > half else code[:0]
     return code
 
 
@@ -84,7 +83,7 @@ class Index:
         order = np.argsort(code, kind="stable")
         self.code, first, times = np.unique(code[order], return_index=True, return_counts=True)
         self.first, self.times = first, times
-        self.window, self.offset = np.concatenate(windows or empty)[order], np.concatenate(offsets or empty)[order]
+        self.window, self.offset = (np.concatenate(x or empty)[order].astype(np.int32) for x in (windows, offsets))
         self.start, self.size, self.edits = (np.array(x, np.int64) for x in (self.start, self.size, self.edits))
         self.need = self.size - Q + 1 - Q * self.edits
         self.marked = np.zeros(1 << _BITS, bool)
@@ -102,12 +101,14 @@ class Index:
         same = self.code[at] == code[place]
         place, at = place[same], at[same]
         reach = int((self.size + self.edits).max())
-        around = np.searchsorted(place, place + reach, "right") - np.searchsorted(place, place - reach)
-        near = around >= self.need.min()
+        shared = np.zeros(len(code) + 2 * reach + 1, np.int32)
+        shared[place + reach + 1] = 1
+        shared = np.cumsum(shared, dtype=np.int32)  # shared q-grams before each place, padded by the reach
+        near = shared[place + 2 * reach + 1] - shared[place] >= self.need.min()
         place, at = place[near], at[near]
         times = self.times[at]
         entry = np.repeat(self.first[at] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum()) if len(at) else none
-        return np.repeat(place, times), self.window[entry], self.offset[entry]
+        return np.repeat(place.astype(np.int32), times), self.window[entry], self.offset[entry]
 
 
 def matches(index: Index, data: np.ndarray, bounds: np.ndarray):
@@ -116,13 +117,21 @@ def matches(index: Index, data: np.ndarray, bounds: np.ndarray):
     none = np.zeros(0, np.int64)
     if not len(place):
         return none, none, none, none
+    step = (index.edits + 1).astype(np.int32)[window]
+    band = (place - offset) // step
+    # each diagonal lies in two overlapping bands; a table of hashed bands drops most of those that
+    # cannot reach their count, before anything is sorted
+    need = index.need[window]
+    kept = []
+    for shift in (0, 1):
+        slot = ((window.astype(np.int64) << 32) + (band - shift)).view(np.uint64) * _SALT >> np.uint64(64 - _BITS)
+        slot = slot.view(np.int64)
+        full = np.flatnonzero(np.bincount(slot, minlength=1 << _BITS)[slot] >= need)
+        kept.append((band[full] - shift, window[full], place[full]))
+    band, window, place = (np.concatenate(x).astype(np.int64) for x in zip(*kept, strict=True))
     text = bytesnp.owner(bounds, place)
     whole = place + Q <= bounds[text + 1]
-    place, window, offset, text = place[whole], window[whole], offset[whole], text[whole]
-    step = index.edits[window] + 1
-    band = (place - offset) // step
-    # each diagonal lies in two overlapping bands
-    band, window, text, place = np.r_[band, band - 1], np.r_[window, window], np.r_[text, text], np.r_[place, place]
+    band, window, place, text = band[whole], window[whole], place[whole], text[whole]
     order = np.lexsort((place, band, window, text))
     band, window, text, place = band[order], window[order], text[order], place[order]
     new = np.ones(len(band), bool)
