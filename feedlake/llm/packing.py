@@ -12,6 +12,7 @@ length, however common, is gathered.
 from __future__ import annotations
 
 import pickle
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.llm import bytesnp
 from feedlake.scale import materialise
 
 CAPACITY = 4096
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4, 2, 3, 4
 SLICES = 64
-CACHE = 300_000
+#: Words whose ids a worker keeps; beyond that it starts anew.
+WORDS = 500_000
 
 Packing = Counter  # pattern (lengths, descending) -> how many bins
 
@@ -153,53 +156,103 @@ def pack_lengths(spark, demand: dict[int, int], capacity: int = CAPACITY) -> Pac
     return elites[0]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class _Encoder(dict):
-    """Ids of each word between blanks as little-endian bytes; rare words do not stay for good."""
+    """Ids of each word between blanks as little-endian bytes; rare words do not stay for good.
+
+    A word of ASCII and Latin-1 letters is taken apart here, and each part goes to the vocabulary's
+    merges alone; any other word goes through the whole tokenizer.
+    """
+
+    LETTERS = re.compile("[a-zß-öø-ÿ]+")
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
+
+    def _merged(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.merge(letters)])
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
+        if len(self) >= WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = found = np.array(ids, "<u4").tobytes()
+        lower = word.lower()
+        if self.LETTERS.fullmatch(lower):
+            found = self._merged(lower)
+        elif self.PLAIN.fullmatch(word) and "<|" not in word:
+            parts = self.PARTS.findall(lower)
+            found = self._merged(lower) if len(parts) == 1 else b"".join([self[p] for p in parts])
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = found
         return found
 
 
 _encoders: dict[str, _Encoder] = {}
 
 
+def _ids(encoder: _Encoder, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and where each text's begin; every distinct word is looked up once."""
+    body = data.tobytes()
+    if b"<|" not in body:  # special tokens are told by case
+        data = bytesnp.LOWER[data]
+        body = data.tobytes()
+    starts, ends = bytesnp.spans_of(~bytesnp.SPACE[data], bounds)
+    # a stop or comma that ends a word stands alone if a letter is before it, so that fewer words differ
+    last = ends - 1
+    stop = last[(last > starts) & ((data[last] == 0x2E) | (data[last] == 0x2C))]
+    before = data[stop - 1]
+    latin = (before >= 0x9F) & (before <= 0xBF) & (before != 0xB7) & (data[stop - 2] == 0xC3)
+    stop = stop[((before >= 0x61) & (before <= 0x7A)) | latin]
+    starts, ends = np.sort(np.concatenate([starts, stop])), np.sort(np.concatenate([ends, stop]))
+    hashes = bytesnp.span_hashes(bytesnp.prefix_hashes(data), starts, ends)
+    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+    found = [encoder[body[a:b].decode()] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat, at = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+    times = size[word]
+    end = np.cumsum(times)
+    ids = flat[np.repeat(at[word] - end + times, times) + np.arange(end[-1] if len(end) else 0)]
+    return ids, np.r_[0, end][np.searchsorted(starts, bounds)]
+
+
 def _tokens(path: str, end: int, capacity: int, others: list[str]):
     """Pieces of each text: ids, cut at the capacity."""
     closing = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, _Encoder(path))
-        ids_of = encoder.__getitem__
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                row, piece, start, length, crc = [], [], [], [], []
-                for i, text in enumerate(part.column("text")):
-                    text = text.as_py() or ""
-                    ids = b"".join(map(ids_of, text.replace("\n", " ").split(" "))) + closing
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        row.append(i)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(own) // 4)
-                        crc.append(zlib.crc32(own))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(c).take(pa.array(row, pa.int64())) for c in others),
-                        *(pa.array(x, t) for x, t in ((piece, pa.int32()), (start, pa.int64()), (length, pa.int64()), (crc, pa.int64()))),
-                    ],
-                    [*others, "piece", "start", "length", "ids_crc32"],
-                )
+        for part, data, bounds in bytesnp.portions(batches, "text", 2 * bytesnp.PORTION):
+            all_ids, limits = _ids(encoder, data, bounds)
+            row, piece, start, length, crc = [], [], [], [], []
+            for i, (a, b) in enumerate(zip(limits[:-1], limits[1:], strict=True)):
+                ids = all_ids[a:b].tobytes() + closing
+                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[at : at + 4 * capacity]
+                    row.append(i)
+                    piece.append(k)
+                    start.append(at // 4)
+                    length.append(len(own) // 4)
+                    crc.append(zlib.crc32(own))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part.column(c).take(pa.array(row, pa.int64())) for c in others),
+                    *(pa.array(x, t) for x, t in ((piece, pa.int32()), (start, pa.int64()), (length, pa.int64()), (crc, pa.int64()))),
+                ],
+                [*others, "piece", "start", "length", "ids_crc32"],
+            )
 
     return run
 
