@@ -29,6 +29,8 @@ from feedlake.scale import materialise
 ORDER = 5
 HEAD = 1 << 20
 GROUPS = 256
+#: Distinct keys that a task sums before it hands them over.
+HELD = 2_000_000
 END = 0xFF
 _LOW = [np.int64((1 << 8 * (k + 1)) - 1) for k in range(ORDER + 1)]
 WORD, GRAM = 0, 1
@@ -57,20 +59,38 @@ def word_keys(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (words >> np.uint64(1)).view(np.int64), text
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], np.concatenate([t for _, t in parts])[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(times, first) if len(first) else times
+
+
 def _counter(learns: str, text: str):
-    """(kind, key, n, learnt) of words and n-grams, summed per portion."""
+    """(kind, key, n, learnt) of words and n-grams, summed over some portions at a time."""
+
+    def rows(kind: int, parts: list) -> pa.RecordBatch:
+        both, times = _summed(parts)
+        keys = (both.view(np.uint64) >> np.uint64(1)).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(times), pa.array(times * (both & 1))],
+            ["kind", "key", "n", "learnt"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {WORD: [], GRAM: []}
         for part, data, bounds in bytesnp.portions(batches, text):
             learnt = np.array(part.column(learns).to_pylist(), np.int64)
             for kind, keys_of in ((WORD, word_keys), (GRAM, ngrams)):
                 keys, own = keys_of(data, bounds)
-                both, times = np.unique(keys << 1 | learnt[own], return_counts=True)
-                keys = (both.view(np.uint64) >> np.uint64(1)).view(np.int64) if kind == GRAM else both >> 1 & np.int64((1 << 63) - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(times), pa.array(times * (both & 1))],
-                    ["kind", "key", "n", "learnt"],
-                )
+                held[kind].append(np.unique(keys << 1 | learnt[own], return_counts=True))
+                if sum(len(k) for k, _ in held[kind]) > HELD:
+                    yield rows(kind, held[kind])
+                    held[kind] = []
+        for kind, parts in held.items():
+            if parts:
+                yield rows(kind, parts)
 
     return run
 
@@ -161,29 +181,32 @@ class Lookup:
         return at
 
 
+def _by_text(values: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Sum of the values between neighbouring limits."""
+    sums = np.add.reduceat(np.append(values, 0.0), limits[:-1]) if len(limits) > 1 else np.zeros(0)
+    return np.where(np.diff(limits) > 0, sums, 0.0)
+
+
 def _scorer(tables, text: str, names: list[str]):
     """Per text: what the head gives, and the keys that it lacks."""
     built = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not built:
-            built.extend((Lookup(keys), _padded(values), _padded(known)) for keys, values, known in tables.value)
+            built.extend((Lookup(keys), *map(_padded, values)) for keys, *values in tables.value)
         for part, data, bounds in bytesnp.portions(batches, text):
             n = part.num_rows
             columns = [part.column(c) for c in names]
-            for (lookup, values, known), keys_of in zip(built, (word_keys, ngrams), strict=True):
+            for (lookup, *tables_), keys_of in zip(built, (word_keys, ngrams), strict=True):
                 keys, own = keys_of(data, bounds)
                 at = lookup(keys)
-                missed = at == lookup.none
-                offsets = np.r_[0, np.cumsum(np.bincount(own[missed], minlength=n))].astype(np.int32)
-                columns += [
-                    pa.array(np.bincount(own, minlength=n)),
-                    pa.array(np.bincount(own, weights=values[at], minlength=n)),
-                    pa.array(np.bincount(own, weights=known[at], minlength=n).astype(np.int64)),
-                    pa.ListArray.from_arrays(offsets, pa.array(keys[missed])),
-                ]
+                limits = np.searchsorted(own, np.arange(n + 1))
+                columns += [pa.array(np.diff(limits)), *(pa.array(_by_text(t[at], limits)) for t in tables_)]
+                missed = np.flatnonzero(at == lookup.none)
+                offsets = np.searchsorted(missed, limits).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(offsets, pa.array(keys[missed])))
             yield pa.RecordBatch.from_arrays(
-                columns, [*names, "words", "w_score", "w_known", "w_rest", "bytes", "g_score", "g_known", "g_rest"]
+                columns, [*names, "words", "w_score", "w_known", "w_rest", "symbols", "g_score", "g_rest"]
             )
 
     return run
@@ -253,15 +276,16 @@ def model_scores(
     for values in (words, grams):
         often = _frequent(values, head)
         top = values.where(often).select("key", "value", (F.col("learnt") > 0).cast("double").alias("known")).toArrow()
-        tables.append([top[c].to_numpy().copy() for c in ("key", "value", "known")])
+        # whether a symbol is known is asked of words alone
+        tables.append([top[c].to_numpy().copy() for c in ("key", "value", "known")[: 3 if values is words else 2]])
         rest.append(values.where(~often).select("key", "value", (F.col("learnt") > 0).cast("long").alias("known")))
     head_tables = spark.sparkContext.broadcast(tables)
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = materialise(
         docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "learnt", "text").mapInArrow(
             _scorer(head_tables, "text", ["row", "doc_id", "learnt"]),
-            f"row long, doc_id {kind}, learnt boolean, words long, w_score double, w_known long, w_rest array<long>, "
-            "bytes long, g_score double, g_known long, g_rest array<long>",
+            f"row long, doc_id {kind}, learnt boolean, words long, w_score double, w_known double, w_rest array<long>, "
+            "symbols long, g_score double, g_rest array<long>",
         )
     )
     parts = []
@@ -277,7 +301,7 @@ def model_scores(
         "doc_id",
         "learnt",
         (F.col("words") + 1).alias("n_tokens"),
-        (F.col("w_known") + F.coalesce("k", zero) + int(texts > 0)).alias("n_known"),
+        (F.col("w_known").cast("long") + F.coalesce("k", zero) + int(texts > 0)).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("w_score") + F.coalesce("w", zero) + end).alias("base_score"),
         (F.col("g_score") + F.coalesce("g", zero)).alias("score"),
