@@ -22,7 +22,7 @@ def manifest_entry(value: Column) -> Column:
     """
     line = manifest_line(value)
     fields = split_fields(F.rtrim(line, F.lit(US)))
-    count = F.get(fields, 1).try_cast("int")
+    count = F.get(fields, 1).try_cast("bigint")
     name = F.regexp_extract(line, r"(?s)^(.*?\.asv)", 1)
     stem = F.substring_index(name, ".asv", 1)
     status = (

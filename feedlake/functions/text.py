@@ -16,7 +16,7 @@ NUMBER_TYPE = "NUMBER"
 
 # A record is blank when every character is U+0020 or lower. That range holds US, so a
 # record made of separators only is blank too.
-_BLANK = r"^[\x00-\x20]*$"
+_BLANK = r"^[\x00-\x20]*\z"
 
 
 def _swap(value: Column, old: str, new: str) -> Column:

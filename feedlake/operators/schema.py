@@ -12,7 +12,6 @@ from feedlake.functions.header import (
     number_positions,
 )
 from feedlake.functions.rows import (
-    WIDE,
     all_fields_pattern,
     golden_text,
     numbers_pattern,
@@ -21,7 +20,7 @@ from feedlake.functions.rows import (
 )
 from feedlake.functions.text import header_fields
 
-FILE_VERDICTS = ("bad_header", "no_golden_schema", "schema_mismatch", "too_wide")
+FILE_VERDICTS = ("bad_header", "no_golden_schema", "schema_mismatch")
 
 LAYOUT_COLUMNS = (
     "file_verdict",
@@ -44,21 +43,13 @@ def match_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def has_wide_tables(by_entity: DataFrame) -> bool:
-    """Does the catalog have tables of so many columns that their files need the wide path?"""
-    widest = by_entity.agg(F.max(F.size("golden"))).first()[0]
-    return widest is not None and widest > WIDE // 2
-
-
-def resolve_layout(headers: DataFrame, wide: bool = False) -> DataFrame:
+def resolve_layout(headers: DataFrame) -> DataFrame:
     """Adds the layout columns to rows with titles, types, golden and golden_pii.
 
     A file is rejected when it has no usable header, when the catalog does not know its entity,
     or when a golden column is missing. Extra columns are allowed and listed. The accept columns
     are null when rows can stay as they are, the source columns when no data is personal.
-
-    ``wide`` admits files of more than ``WIDE`` columns. Without it such a file, which has
-    hundreds of columns that no table of the catalog has, is rejected as too wide.
+    The width of a file does not matter: beyond ``WIDE`` columns rows go by the array columns.
     """
     names, golden = F.col("names"), F.col("golden")
     base = headers.withColumn("names", normalise_all(header_fields(F.col("titles")))).withColumn(
@@ -69,8 +60,6 @@ def resolve_layout(headers: DataFrame, wide: bool = False) -> DataFrame:
         .when(F.coalesce(F.size("type_names") < F.size(names), F.lit(True)), "bad_header")
         .when(F.col("n_matched") < F.col("n_golden"), "schema_mismatch")
     )
-    if not wide:
-        verdict = verdict.when(F.size(names) > WIDE, "too_wide")
     source_pii = F.transform(
         names,
         lambda n: F.coalesce(

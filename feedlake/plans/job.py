@@ -92,10 +92,14 @@ def run(
         load = LOADS[kind](spark, input_path, date, lists, golden, rules)
         write_load(spark, load, out, run_id, rules.entity)
     except Exception as e:
-        sinks.append_status(spark, status, *who, "load", "failed", str(e)[:1000])
+        sinks.append_status(spark, status, *who, "load", "failed", str(e))
         raise
     outcome = spark.read.parquet(f"{out.audit}/outcome")
-    state = "completed" if outcome.where("state != 'ok'").isEmpty() else "completed with errors"
+    clean = outcome.where("state != 'ok'").isEmpty()
+    if load.manifest_rows is not None:  # files that are missing or that a bad manifest row names
+        errors = [spark.read.parquet(f"{out.root}/error/{part}") for part in ("manifest_rows", "missing_files")]
+        clean = clean and all(e.isEmpty() for e in errors)
+    state = "completed" if clean else "completed with errors"
     message = f"{run_id}: {time.monotonic() - started:.1f} s"
     sinks.append_status(spark, status, *who, "load", state, message)
     sinks.append_work(spark, f"{out.audit}/work_queue", *who, "loaded")
@@ -117,15 +121,18 @@ def run_requested(
     root: str,
     rules: Rules = Rules(),
 ) -> list[str]:
-    """One load per control file, into ``{root}/{job_id}``; returns the job ids.
+    """One load per request, into ``{root}/{job_id}/{facility}_{from_date}``; returns the job ids.
+
+    Control files that ask for the same are one request; those of one job stay apart. Requests
+    without a job id go below ``no-job``.
 
     A facility on the division list, or the id that stands for all divisions, is loaded by its
     manifests, any other one by its directories.
     """
-    runs = requested_runs(controls, lists.divisions, source).collect()
+    runs = requested_runs(controls, lists.divisions, source).distinct().collect()
     for r in runs:
         kind = "path" if r["run_type"] == "path" else "divisional"
         context = RunContext(r["job_id"], r["facility"], r["run_source"])
-        out = Outputs(f"{root}/{r['job_id']}")
+        out = Outputs(f"{root}/{r['job_id'] or 'no-job'}/{r['facility']}_{r['from_date']}")
         run(spark, kind, r["run_source"], r["from_date"], lists, golden, out, rules, context)
     return [r["job_id"] for r in runs]

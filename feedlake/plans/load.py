@@ -12,7 +12,7 @@ from feedlake.functions.paths import Layout, directory, entity_of, file_kind, fi
 from feedlake.functions.rows import LOAD_FLAG
 from feedlake.operators.joins import with_job_id
 from feedlake.operators.rows import route
-from feedlake.operators.schema import LAYOUT_COLUMNS, WIDE_COLUMNS, has_wide_tables, resolve_layout
+from feedlake.operators.schema import LAYOUT_COLUMNS, WIDE_COLUMNS, resolve_layout
 from feedlake.scale import (
     BROADCAST_BYTES,
     broadcast_if_small,
@@ -108,10 +108,10 @@ def with_layouts(records: DataFrame, headers: DataFrame, limit: int, chunk: int)
     )
 
 
-def _finished(records: DataFrame, rules: Rules, wide: bool) -> DataFrame:
+def _finished(records: DataFrame, rules: Rules) -> DataFrame:
     is_file = F.col("value").isNull()
     return (
-        route(records, rules.validate, rules.pii_extra_columns, wide)
+        route(records, rules.validate, rules.pii_extra_columns, wide=True)
         .withColumn("load_flag", F.when(~is_file, LOAD_FLAG))
         .withColumn("file_verdict", F.when(is_file, F.col("file_verdict")))
         .withColumn("extra_columns", F.when(is_file, F.col("extra_columns")))
@@ -140,14 +140,13 @@ def routed_rows(
     why the file was rejected or ``ok``, and the columns the catalog does not know.
     """
     tables = materialise(golden_by_entity(golden))
-    wide = has_wide_tables(tables)
     by_entity = broadcast_if_small(tables, broadcast_bytes)
     jobs = broadcast_if_small(controls.select("dir", "job_id"), broadcast_bytes)
     keep = keep & (file_kind(F.col("_metadata.file_path")) == "data")
 
     def prepared(df: DataFrame) -> DataFrame:
         described = with_job_id(_described(df, rules), directory(F.col("file_path")), jobs)
-        return resolve_layout(described.join(by_entity, "entity", "left"), wide)
+        return resolve_layout(described.join(by_entity, "entity", "left"))
 
     small = small_files(spark, paths, keep)
     if small is None:
@@ -164,7 +163,7 @@ def routed_rows(
     )
     file_record = F.array(F.lit(None).cast("string"))
     records = bodies.withColumn("value", F.explode(F.concat(file_record, "records")))
-    routed = _finished(records.drop("body", "records"), rules, wide)
+    routed = _finished(records.drop("body", "records"), rules)
 
     big = files.where(F.col("file_size") > whole_file_bytes(spark))
     if big.isEmpty():
@@ -187,6 +186,6 @@ def routed_rows(
         2 * whole_file_bytes(spark),
     )
     per_file = headers.withColumn("value", F.lit(None).cast("string"))
-    return routed.unionByName(_finished(split, rules, wide)).unionByName(
-        _finished(per_file, rules, wide)
+    return routed.unionByName(_finished(split, rules)).unionByName(
+        _finished(per_file, rules)
     )

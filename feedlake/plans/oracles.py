@@ -98,7 +98,7 @@ SELECT event_id,
   CASE WHEN event_type IN ('view', 'signup') THEN NULL ELSE n END AS row_count,
   CASE WHEN event_type = 'view' THEN 'single_field' WHEN event_type = 'signup' THEN 'bad_count'
        WHEN n = 0 THEN 'zero_rows' WHEN event_type = 'error' THEN 'bad_name' ELSE 'ok' END AS status
-FROM (SELECT *, CAST(floor(value) AS INTEGER) AS n,
+FROM (SELECT *, CAST(floor(value) AS BIGINT) AS n,
   event_type || '_4.0_' || strftime(ts, '%Y%m%d%H%M%S') || '_' || user_id AS name FROM events)""",
     "path_parts": f"""
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS org_id, {_DAY} AS feed_date,

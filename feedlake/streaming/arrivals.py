@@ -14,17 +14,24 @@ from feedlake.plans.load import Rules
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def _any_case(name: str) -> str:
+    """Glob for a name in upper, lower or mixed case."""
+    return "".join(f"[{c.upper()}{c.lower()}]" if c.isalpha() else c for c in name)
+
+
 def arrivals(spark: SparkSession, glob: str, max_controls: int = 1000) -> DataFrame:
     """Stream of (dir): directories whose control file has newly arrived.
 
     Senders put the control file last, so its presence means the directory is complete. Only
-    file metadata is read.
+    file metadata is read. Its name counts in any case, as in a batch load, and its age does not
+    matter.
     """
     return (
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", CONTROL_NAME)
+        .option("pathGlobFilter", _any_case(CONTROL_NAME))
+        .option("maxFileAge", "36500d")
         .option("maxFilesPerTrigger", max_controls)
         .load(glob)
         .select(directory(F.col("path")).alias("dir"))

@@ -33,6 +33,10 @@ def test_blank(spark, value, blank):
     assert one(spark, text.is_blank(F.col("v")), v=value) is blank
 
 
+def test_a_closing_line_terminator_is_not_blank(spark):
+    assert one(spark, text.is_blank(F.col("v")), v=" \u0085") is False
+
+
 def test_normalise_title(spark):
     assert one(spark, text.normalise_title(F.col("v")), v="Allergy  Name") == "allergy__name"
 
@@ -113,7 +117,8 @@ GOOD = "transaction_4.0_20150812090417_1562.asv"
         (f"allergy{US}111{US}x", ("", "", "", 111, "bad_name")),
         (f"plain.asv{US}111", ("plain.asv", "plain", "plain", 111, "bad_name")),
         (f"{GOOD}{US}many", (GOOD, "transaction", "1562", None, "bad_count")),
-        (f"{GOOD}{US}99999999999", (GOOD, "transaction", "1562", None, "bad_count")),
+        (f"{GOOD}{US}99999999999", (GOOD, "transaction", "1562", 99999999999, "ok")),
+        (f"{GOOD}{US}9{'0' * 19}", (GOOD, "transaction", "1562", None, "bad_count")),
         (f"{GOOD}{US}", (GOOD, "transaction", "1562", None, "single_field")),
     ],
 )
