@@ -6,8 +6,9 @@ independent minima; a text stops as soon as no shingle's next rank could lower a
 
 Texts with equal shingle sets are one class; only classes go on. Within a band a bucket is a star
 around its best connected class, never all pairs. Links count only after the full sets are compared.
-Buckets that still hold several components are taken up again with other centres, and what is left
-is compared across components, so no centre hides a link.
+In buckets that still hold several components, members of different ones are compared: pair by pair
+in small buckets; in large ones those outside the main component are a query set, taken in blocks
+against the rest, so that only links become rows and no centre hides one.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from feedlake.llm.graph import components
 from feedlake.scale import materialise
 
 SLOTS, ROWS = 128, 4
+#: Members above which a band's leftovers are searched in blocks, and the sizes of slice and block.
+HOT, SLICE, BLOCK = 16, 2000, 256
 
 
 def superminhash(values: np.ndarray, text: np.ndarray, n_texts: int, slots: int = SLOTS) -> np.ndarray:
@@ -196,42 +200,87 @@ def _linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     links = classes.select(F.col("node").alias("x"), F.col("node").alias("y")).limit(0)
     tried = links
     labels = members.select("node").distinct().withColumn("root", F.col("node"))
-    orders = [F.struct("weight", "node"), F.struct(F.xxhash64("node"), "node"), F.struct(-F.col("weight"), "node")]
-    for centre in orders:
-        seen = members.join(labels, "node")
-        mixed = materialise(
-            seen.groupBy("band")
-            .agg(
-                F.max(centre).getField("node").alias("x"),
-                F.min("root").alias("low"),
-                F.max("root").alias("high"),
-                F.max_by("root", centre).alias("x_root"),
-            )
-            .where("low <> high")
-            .select("band", "x", "x_root")
-        )
-        if mixed.isEmpty():
-            return labels
-        pairs = seen.join(mixed, "band").where("root <> x_root")
-        pairs = pairs.select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y"))
-        links, tried, labels = _round(pairs, tried, links, sketches, sets, labels, percent)
-    # what no centre settled: members of different components, judged by their sketches first
-    seen = members.join(labels, "node").select("band", "node", "root")
+    centre = F.struct("weight", "node")
+    stars = members.groupBy("band").agg(F.max(centre).getField("node").alias("x"))
+    pairs = members.join(stars, "band").where("node <> x")
+    pairs = pairs.select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y"))
+    links, tried, labels = _round(pairs, tried, links, sketches, sets, labels, percent)
+    # what no centre settled: members of different components of one band
+    seen = materialise(members.join(labels, "node").select("band", "node", "root", "members"))
     mixed = seen.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     seen = seen.join(mixed.select("band"), "band")
-    other = seen.select("band", F.col("node").alias("y"), F.col("root").alias("y_root"))
-    pairs = seen.join(other, "band").where("node < y and root <> y_root").select(F.col("node").alias("x"), "y")
+    few, many = seen.where(F.col("members") <= HOT), seen.where(F.col("members") > HOT)
+    other = few.select("band", F.col("node").alias("y"), F.col("root").alias("y_root"))
+    pairs = few.join(other, "band").where("node < y and root <> y_root").select(F.col("node").alias("x"), "y")
+    links = links.unionByName(_searched(many, labels, sets, percent))
     return _round(pairs, tried, links, sketches, sets, labels, percent)[2]
 
 
+def _searched(many: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the nodes that stand outside the main component of a large band.
+
+    They are a query set, taken in blocks against slices of that component and of each other, so that
+    only links become rows. Each slice and each block holds a bounded number of sets.
+    """
+    sizes = many.groupBy("band", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    asks = materialise(many.join(main, "band").where("root <> main").select("main", "node", "root").distinct())
+    if asks.isEmpty():
+        return asks.select(F.col("node").alias("x"), F.col("node").alias("y"))
+    mains = asks.select("main").distinct()
+    held = labels.join(mains.withColumnRenamed("main", "root"), "root").select(F.col("root").alias("main"), "node", "root")
+    held = held.unionByName(asks)
+    parts = held.groupBy("main").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
+    parts = parts.join(asks.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "main")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = held.join(parts, "main").join(sets, "node").select("main", "node", "root", "set", place("slices").alias("slice"), every("blocks").alias("block"))
+    asked = asks.join(parts, "main").join(sets, "node").select("main", "node", "root", "set", place("blocks").alias("block"), every("slices").alias("slice"))
+
+    def search(group: pa.Table) -> pa.Table:
+        x, y = _linked_blocks(*(group.filter(pc.equal(group["asks"], a)) for a in (False, True)), percent)
+        return pa.table({"x": pa.array(x, pa.binary()), "y": pa.array(y, pa.binary())})
+
+    both = rows.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
+    return materialise(both.groupBy("main", "slice", "block").applyInArrow(search, "x binary, y binary"))
+
+
+def _linked_blocks(rows: pa.Table, asked: pa.Table, percent: int) -> tuple[list, list]:
+    """Verified links of rows and asked nodes of other components; one per row and component."""
+    sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in asked["set"]]
+    if not sets or not rows.num_rows:
+        return [], []
+    sizes = np.array([len(v) for v in sets])
+    values, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    known, first, times = np.unique(values[order], return_index=True, return_counts=True)
+    of = of[order]
+    nodes, roots = asked["node"].to_pylist(), asked["root"].to_pylist()
+    number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
+    component = np.array([number[r] for r in roots])
+    found: tuple[list, list] = ([], [])
+    for node, root, own in zip(rows["node"].to_pylist(), rows["root"].to_pylist(), rows["set"], strict=True):
+        own = np.frombuffer(own.as_buffer(), np.uint64)
+        at = np.searchsorted(known, own)
+        at[at == len(known)] = 0
+        at = at[known[at] == own]
+        n = times[at]
+        entry = np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        shared = np.bincount(of[entry], minlength=len(sets))
+        linked = (100 * shared >= percent * (len(own) + sizes - shared)) & (component != number.get(root, -1))
+        hits = np.flatnonzero(linked)
+        for k in hits[np.unique(component[hits], return_index=True)[1]]:
+            found[0].append(node)
+            found[1].append(nodes[k])
+    return found
+
+
 def _round(pairs, tried, links, sketches, sets, labels, percent):
     """Verify the pairs not tried before: all links, tried pairs and labels so far."""
     pairs = pairs.distinct().join(tried, ["x", "y"], "left_anti")
     x = sketches.select(F.col("node").alias("x"), F.col("sketch").alias("x_sketch"))
     y = sketches.select(F.col("node").alias("y"), F.col("sketch").alias("y_sketch"))
     new = materialise(_likely(pairs.join(x, "x").join(y, "y"), percent))
-    if new.isEmpty():
-        return links, tried, labels
     sized = new.join(sets.select(F.col("node").alias("y"), F.col("set").alias("y_set")), "y")
     sized = sized.join(sets.select(F.col("node").alias("x"), F.col("set").alias("x_set")), "x")
     found = materialise(sized.mapInArrow(_verifier(percent), "x binary, y binary"))
