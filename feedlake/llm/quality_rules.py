@@ -94,7 +94,10 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (F.col("n_stop_words") / words).alias("stop_word_ratio"),
         (F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))).alias("dup_line_ratio"),
     ]
-    return texts.select("row", F.struct(*texts.columns[1:], *ratios).alias("measures"))
+    # the line number keeps a later filter above this projection: pushed below, it would work out the
+    # nested arrays anew for every mention
+    line = F.monotonically_increasing_id().alias("line")
+    return texts.select("row", F.struct(*texts.columns[1:], *ratios, line).alias("measures"))
 
 
 def compiled(rules: tuple[Rule, ...]) -> Column:
