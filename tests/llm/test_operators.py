@@ -219,7 +219,8 @@ def test_packing(docs, none):
             assert offset == end
             end += length
         assert end <= 512
-    assert len(bins) == -(-sum(w[3] for w in want) // 512)
+    # the sum of lengths is a lower bound that cannot always be met
+    assert len(bins) <= -(-sum(w[3] for w in want) // 512) + 1
     assert packing.pack(none, tokenizer_path()).count() == 0
 
 
