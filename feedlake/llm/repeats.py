@@ -115,31 +115,52 @@ def _blocker(length: int, gram: int):
     return run
 
 
-def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order, and each one's common prefix with the one before it.
+def suffix_array(symbols: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order, and each one's common prefix with the one before it; prefixes shorter than
+    ``least`` may be given too short.
 
-    Prefix doubling; the ranks of all sizes are kept for the prefixes. The last symbol is unique.
+    Prefix doubling from as many symbols as fit into one number; a rank is the first place of its
+    group, so that only groups of several suffixes are sorted again. The ranks of all sizes are kept
+    for the prefixes. The last symbol is unique, so suffixes of one group never end inside it.
     """
     n = len(symbols)
-    _, rank = np.unique(symbols, return_inverse=True)
-    ranks, size = [(1, rank.astype(np.int32))], 1
-    while len(symbols) and rank.max() + 1 < n:
-        second = np.full(n, -1, np.int64)
-        second[: n - size] = rank[size:] if size < n else 0
-        both = rank.astype(np.int64) * (n + 1) + second + 1
-        _, rank = np.unique(both, return_inverse=True)
+    bits = int(symbols.max()).bit_length()
+    start = size = 62 // bits
+    padded = np.r_[symbols, np.zeros(size, np.int64)]
+    key = np.zeros(n, np.int64)
+    for j in range(size):
+        key = key << bits | padded[j : j + n]
+    order, at, rank, ranks = np.arange(n), np.arange(n), np.zeros(n, np.int32), []
+    common = np.zeros(n, np.int64)  # at first the last size at which the two were of one group
+    while True:
+        by = np.argsort(key)
+        order[at], key = order[at][by], key[by]
+        new = np.r_[True, key[1:] != key[:-1]]
+        rank = rank.copy()
+        rank[order[at]] = np.maximum.accumulate(np.where(new, at, 0))
+        ranks.append((size, rank))
+        common[at[~new]] = size
+        at = at[~(new & np.r_[new[1:], True])]
+        if not len(at):
+            break
+        key = rank[order[at]].astype(np.int64) * n + rank[order[at] + size]
         size *= 2
-        ranks.append((size, rank.astype(np.int32)))
-    order = np.argsort(rank, kind="stable")
-    common = np.zeros(n, np.int64)
-    left, right = order[:-1].copy(), order[1:].copy()
+    far = np.flatnonzero(2 * np.maximum(common, start) > least)
+    far = far[far > 0]
+    same = common[far]
+    left, right, stop = order[far - 1] + same, order[far] + same, same.copy()
     for size, rank in reversed(ranks):
-        inside = np.maximum(left, right) < n
-        same = np.zeros(len(left), bool)
-        same[inside] = rank[left[inside]] == rank[right[inside]]
-        common[1:][same] += size
-        left[same] += size
-        right[same] += size
+        inside = (stop > size) & (np.maximum(left, right) < n)
+        at = np.flatnonzero(inside)
+        at = at[rank[left[at]] == rank[right[at]]]
+        for places in (same, left, right):
+            places[at] += size
+    at = np.arange(len(far))
+    for _ in range(start - 1):  # what is left is shorter than the first size
+        at = at[padded[left[at]] == padded[right[at]]]
+        for places in (same, left, right):
+            places[at] += 1
+    common[far] = same
     return order, common
 
 
@@ -179,7 +200,7 @@ def repeats_in(segments: list[bytes], length: int) -> list[np.ndarray]:
     for k, (at, s) in enumerate(zip(starts, segments, strict=False)):
         symbols[at : at + len(s)] = np.frombuffer(s, np.uint8)
         symbols[at + len(s)] = 256 + k
-    order, common = suffix_array(symbols)
+    order, common = suffix_array(symbols, length)
     before = np.r_[-1, symbols[:-1]]
     before[starts[:-1]] = -1
     cover = np.zeros(len(symbols) + 1, np.int64)

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,22 @@ def test_repeats(docs, none, monkeypatch, hot):
     assert repeats.remove_repeats(none).count() == 0
 
 
+def test_suffix_array_agrees_with_plain_sorting():
+    rng = random.Random(5)
+    for _ in range(60):
+        segments = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 60))) for _ in range(rng.randint(1, 5))]
+        segments.append(segments[0] * 2)
+        symbols = [c for k, s in enumerate(segments) for c in [*s, 256 + k]]
+        want = sorted(range(len(symbols)), key=lambda i: symbols[i:])
+        shared = [0]
+        for i, j in zip(want, want[1:], strict=False):
+            shared.append(next(k for k, (a, b) in enumerate(zip(symbols[i:], symbols[j:], strict=False)) if a != b))
+        for least in (1, 13, 20):
+            order, common = repeats.suffix_array(np.array(symbols), least)
+            assert order.tolist() == want
+            assert all(c == s or c < s < least for c, s in zip(common.tolist(), shared, strict=True))
+
+
 def test_maximal_repeats_have_all_occurrences():
     found = repeats.repeats_in([b"xxabcdefyy", b"zzabcdefww", b"qqabcdefqq"], 5)
     assert [f.tolist() for f in found] == [[[2, 8]]] * 3
