@@ -6,6 +6,7 @@ that is longer than the limit.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,21 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task, beside others."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def portions(batches, column: str, limit: int = PORTION) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches of about ``limit`` bytes of text, with the text's bytes and bounds."""
+    """Slices of the batches of about ``limit`` bytes of text, with the text's bytes and bounds.
+
+    At the end freed memory is released.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -46,6 +60,7 @@ def portions(batches, column: str, limit: int = PORTION) -> Iterator[tuple[pa.Re
             part = data[bounds[first] : bounds[last]]
             yield batch.slice(first, last - first), part, bounds[first : last + 1] - bounds[first]
             first = last
+    release()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

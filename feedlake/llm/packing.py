@@ -180,6 +180,7 @@ class _Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
+        bytesnp.release()  # what reading the vocabulary took
 
     def _merged(self, part: str) -> bytes:
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
@@ -234,7 +235,7 @@ def _tokens(path: str, end: int, capacity: int, others: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, _Encoder(path))
-        for part, data, bounds in bytesnp.portions(batches, "text", 2 * bytesnp.PORTION):
+        for part, data, bounds in bytesnp.portions(batches, "text"):
             all_ids, limits = _ids(encoder, data, bounds)
             row, piece, start, length, crc = [], [], [], [], []
             for i, (a, b) in enumerate(zip(limits[:-1], limits[1:], strict=True)):
