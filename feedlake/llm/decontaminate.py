@@ -1,9 +1,10 @@
 """Benchmark decontamination: q-gram lemma filter in diagonal bands, banded alignment to verify.
 
-Items are cut into overlapping windows. A place that matches a window of m bytes with at most e
-edits shares at least m - q + 1 - q * e of its q-grams, and these lie on at most e + 1 neighbouring
-diagonals. Diagonals are dealt into overlapping bands of 2 * (e + 1), so that one band holds them
-all; bands with enough shared q-grams are aligned within the band, and kept if the edits fit.
+Every window of an item is looked for, whatever byte it starts at. A place that matches a window of
+m bytes with at most e edits shares at least m - q + 1 - q * e of its q-grams, and these lie on at
+most e + 1 neighbouring diagonals. Diagonals of an item are dealt into overlapping bands of
+2 * (e + 1), so that one band holds them all; a window slides over the shared q-grams of a band, and
+where it holds enough of them it is aligned within the band, and kept if the edits fit.
 
 Texts and items are compared with ASCII and Latin-1 letters lower-cased and everything that is not
 a letter, a digit or outside ASCII taken as one blank.
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from feedlake.llm import bytesnp
 from feedlake.scale import measured_bytes
 
-Q, WINDOW, STRIDE, SHORTEST = 8, 96, 48, 24
+#: Items below SHORTEST bytes are compared without edits, those below Q only with whole texts.
+Q, WINDOW, SHORTEST = 8, 96, 24
 EDIT_PERCENT = 10
 BLOCK_BYTES = 8 << 20
 _BITS = 20
@@ -50,48 +52,68 @@ def plain(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return out[place], np.searchsorted(place, bounds), place
 
 
-def codes_of(data: np.ndarray) -> np.ndarray:
-    """The q-gram of 8 bytes that starts at each byte as one number, by doubling."""
-    code = data.astype(np.uint64)
+def codes_of(data: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-gram of at most 8 bytes that starts at each byte as one number, by doubling."""
+    code = np.r_[data, np.zeros(8 - q, np.uint8)].astype(np.uint64)
     for half in (1, 2, 4):
         code = code[:-half] << np.uint64(8 * half) | code[half:] if len(code) > half else code[:0]
-    return code
+    return code >> np.uint64(8 * (8 - q))
+
+
+def _edits(size: int) -> int:
+    return size * EDIT_PERCENT // 100 if size >= SHORTEST else 0
+
+
+def _needed(size: int, q: int) -> int:
+    """q-grams that a place must share with a window of this size."""
+    return size - q + 1 - q * _edits(size)
+
+
+def indexes(ids: list, texts: list[str]) -> list[Index]:
+    """Items by the longest q-gram that the lemma vouches for, at most Q bytes; tiny ones apart."""
+    data, bounds = bytesnp.raw(pa.array(texts, pa.string()))
+    data, bounds, _ = plain(data, bounds)
+    groups: dict[int, list] = {}
+    for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        body = data[lo:hi].tobytes()
+        if len(body.strip()) < SHORTEST:
+            body = body.strip()
+        if body:
+            size = min(len(body), WINDOW)
+            q = next((q for q in range(Q, 1, -1) if _needed(size, q) > 0), Q) if size >= Q else 0
+            groups.setdefault(q, []).append((ids[k], body))
+    return [Index(q, *zip(*items, strict=True)) for q, items in sorted(groups.items())]
 
 
 class Index:
-    """The q-grams of the items' windows."""
-
-    def __init__(self, ids: list, texts: list[str]):
-        data, bounds = bytesnp.raw(pa.array(texts, pa.string()))
-        self.data, bounds, _ = plain(data, bounds)
-        self.item, self.start, self.size, self.edits = [], [], [], []
-        codes, windows, offsets = [], [], []
-        for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            size = min(hi - lo, WINDOW)
-            if size < SHORTEST:
-                continue
-            for at in sorted({*range(lo, hi - size + 1, STRIDE), hi - size}):
-                codes.append(codes_of(self.data[at : at + size]))
-                windows.append(np.full(len(codes[-1]), len(self.item)))
-                offsets.append(np.arange(len(codes[-1])))
-                self.item.append(ids[k])
-                self.start.append(at)
-                self.size.append(size)
-                self.edits.append(size * EDIT_PERCENT // 100)
-        empty = [np.zeros(0, np.int64)]
-        code = np.concatenate(codes or [np.zeros(0, np.uint64)])
-        order = np.argsort(code, kind="stable")
-        self.code, first, times = np.unique(code[order], return_index=True, return_counts=True)
-        self.first, self.times = first, times
-        self.window, self.offset = (np.concatenate(x or empty)[order].astype(np.int32) for x in (windows, offsets))
-        self.start, self.size, self.edits = (np.array(x, np.int64) for x in (self.start, self.size, self.edits))
-        self.need = self.size - Q + 1 - Q * self.edits
+    """The q-grams of items; with q = 0 the items are only compared with whole texts."""
+
+    def __init__(self, q: int, ids: tuple, bodies: tuple[bytes, ...]):
+        self.q, self.item = q, list(ids)
+        self.length = np.array([len(b) for b in bodies], np.int64)
+        self.base = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(bodies), np.uint8)
+        self.size = np.minimum(self.length, WINDOW)
+        self.edits = np.array([_edits(n) for n in self.size.tolist()], np.int64)
+        if not q:
+            self.whole: dict[bytes, list[int]] = {}
+            for k, body in enumerate(bodies):
+                self.whole.setdefault(body, []).append(k)
+            return
+        self.need = self.size - q + 1 - q * self.edits
+        code = codes_of(self.data, q)
+        item = np.repeat(np.arange(len(bodies)), self.length)[: len(code)]
+        offset = np.arange(len(code)) - self.base[item]
+        inner = np.flatnonzero(offset + q <= self.length[item])
+        order = inner[np.argsort(code[inner], kind="stable")]
+        self.code, self.first, self.times = np.unique(code[order], return_index=True, return_counts=True)
+        self.of, self.offset = item[order].astype(np.int32), offset[order].astype(np.int32)
         self.marked = np.zeros(1 << _BITS, bool)
         self.marked[self.code * _SALT >> np.uint64(64 - _BITS)] = True
 
     def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, window, offset) of every shared q-gram that has enough others around it."""
-        code = codes_of(data)
+        """(place, item, offset) of every shared q-gram that has enough others around it."""
+        code = codes_of(data, self.q)
         none = np.zeros(0, np.int64)
         if not len(self.code) or not len(code):
             return none, none, none
@@ -104,74 +126,125 @@ class Index:
         shared = np.zeros(len(code) + 2 * reach + 1, np.int32)
         shared[place + reach + 1] = 1
         shared = np.cumsum(shared, dtype=np.int32)  # shared q-grams before each place, padded by the reach
-        near = shared[place + 2 * reach + 1] - shared[place] >= self.need.min()
-        place, at = place[near], at[near]
+        around = shared[place + 2 * reach + 1] - shared[place]
+        near = around >= self.need.min()
+        place, at, around = place[near], at[near], around[near]
         times = self.times[at]
         entry = np.repeat(self.first[at] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum()) if len(at) else none
-        return np.repeat(place.astype(np.int32), times), self.window[entry], self.offset[entry]
+        place, item, offset = np.repeat(place.astype(np.int32), times), self.of[entry], self.offset[entry]
+        enough = np.repeat(around, times) >= self.need[item]
+        return place[enough], item[enough], offset[enough]
 
 
 def matches(index: Index, data: np.ndarray, bounds: np.ndarray):
-    """(text, window, end, edits) of verified places; ends are places in ``data``."""
-    place, window, offset = index.hits(data)
+    """(text, item, first, end, edits) of verified windows; first and end are places in ``data``."""
+    if not index.q:
+        return _whole_texts(index, data, bounds)
+    place, item, offset = index.hits(data)
     none = np.zeros(0, np.int64)
     if not len(place):
-        return none, none, none, none
-    step = (index.edits + 1).astype(np.int32)[window]
+        return none, none, none, none, none
+    step = (index.edits + 1).astype(np.int32)[item]
     band = (place - offset) // step
     # each diagonal lies in two overlapping bands; a table of hashed bands drops most of those that
     # cannot reach their count, before anything is sorted
-    need = index.need[window]
+    need = index.need[item]
     kept = []
     for shift in (0, 1):
-        slot = ((window.astype(np.int64) << 32) + (band - shift)).view(np.uint64) * _SALT >> np.uint64(64 - _BITS)
+        slot = ((item.astype(np.int64) << 32) + (band - shift)).view(np.uint64) * _SALT >> np.uint64(64 - _BITS)
         slot = slot.view(np.int64)
         full = np.flatnonzero(np.bincount(slot, minlength=1 << _BITS)[slot] >= need)
-        kept.append((band[full] - shift, window[full], place[full]))
-    band, window, place = (np.concatenate(x).astype(np.int64) for x in zip(*kept, strict=True))
+        kept.append((band[full] - shift, item[full], offset[full], place[full]))
+    band, item, offset, place = (np.concatenate(x).astype(np.int64) for x in zip(*kept, strict=True))
     text = bytesnp.owner(bounds, place)
-    whole = place + Q <= bounds[text + 1]
-    band, window, place, text = band[whole], window[whole], place[whole], text[whole]
-    order = np.lexsort((place, band, window, text))
-    band, window, text, place = band[order], window[order], text[order], place[order]
+    whole = place + index.q <= bounds[text + 1]
+    band, item, offset, text = band[whole], item[whole], offset[whole], text[whole]
+    order = np.lexsort((offset, band, item, text))
+    band, item, offset, text = band[order], item[order], offset[order], text[order]
     new = np.ones(len(band), bool)
-    new[1:] = (band[1:] != band[:-1]) | (window[1:] != window[:-1]) | (text[1:] != text[:-1])
+    new[1:] = (band[1:] != band[:-1]) | (item[1:] != item[:-1]) | (text[1:] != text[:-1])
     fresh = new.copy()
-    fresh[1:] |= place[1:] != place[:-1]
-    first = np.flatnonzero(new)
-    shared = np.add.reduceat(fresh, first) if len(first) else none
-    enough = first[shared >= index.need[window[first]]]
-    band, window, text = band[enough], window[enough], text[enough]
-    order = list(_by_size(index, window))
-    if not order:
-        return none, none, none, none
-    ends, edits = (np.concatenate(x) for x in zip(*(align(index, data, bounds, text[s], window[s], band[s]) for s in order), strict=True))
+    fresh[1:] |= offset[1:] != offset[:-1]
+    group = np.cumsum(new)[fresh]
+    band, item, offset, text = band[fresh], item[fresh], offset[fresh], text[fresh]
+    some, start = _starts(index, group, item, offset)
+    if not len(some):
+        return none, none, none, none, none
+    text, item, band = text[some], item[some], band[some]
+    order = list(_by_size(index, item))
+    ends, edits = (np.concatenate(x) for x in zip(*(align(index, data, bounds, text[s], item[s], start[s], band[s]) for s in order), strict=True))
     order = np.concatenate(order)
-    fits = edits <= index.edits[window[order]]
-    return text[order][fits], window[order][fits], ends[fits], edits[fits]
-
-
-def _by_size(index: Index, window: np.ndarray) -> Iterator[np.ndarray]:
+    fits = edits <= index.edits[item[order]]
+    order, ends, edits = order[fits], ends[fits], edits[fits]
+    # the two bands of a diagonal find the same place
+    text, item, start, ends, edits = np.unique(np.stack([text[order], item[order], start[order], ends, edits]), axis=1)
+    first = np.maximum(ends - index.size[item], bounds[text])
+    ends = np.minimum(ends, bounds[text + 1])
+    short = index.size[item] < SHORTEST
+    stands = ~short | ~(_joined(data, bounds, text, first) | _joined(data, bounds, text, ends))
+    return text[stands], item[stands], first[stands], ends[stands], edits[stands]
+
+
+def _starts(index: Index, group: np.ndarray, item: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that hold enough shared q-grams of their band: an entry of the band, and the first byte.
+
+    Entries are ascending by band (``group``) and offset. The windows that hold the needed q-grams from
+    one entry on are a range of starts; a range begins after the one before it in the band.
+    """
+    last = np.arange(len(offset)) + index.need[item] - 1
+    span = index.size[item] - index.q
+    at = np.flatnonzero(last < len(offset))
+    at = at[group[last[at]] == group[at]]
+    at = at[offset[last[at]] - offset[at] <= span[at]]
+    low = np.maximum(offset[last[at]] - span[at], 0)
+    high = np.minimum(offset[at], (index.length - index.size)[item[at]])
+    after = group[at[1:]] == group[at[:-1]]
+    low[1:] = np.where(after, np.maximum(low[1:], high[:-1] + 1), low[1:])
+    times = np.maximum(high - low + 1, 0)
+    return np.repeat(at, times), np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+
+
+def _joined(data: np.ndarray, bounds: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Does an ASCII word of the text go on over the place?"""
+    inner = (at > bounds[text]) & (at < bounds[text + 1])
+    word = (data != 0x20) & (data < 0x80)
+    at = np.where(inner, at, 1)
+    return inner & word[at - 1] & word[np.minimum(at, len(data) - 1)]
+
+
+def _whole_texts(index: Index, data: np.ndarray, bounds: np.ndarray):
+    """The texts that are nothing but an item, blanks around it aside."""
+    found = []
+    for k in np.flatnonzero(np.diff(bounds) < Q + 2).tolist():
+        body = data[bounds[k] : bounds[k + 1]].tobytes()
+        first = bounds[k] + len(body) - len(body.lstrip())
+        found += [(k, i, first, first + len(body.strip()), 0) for i in index.whole.get(body.strip(), [])]
+    return tuple(np.array(found, np.int64).reshape(-1, 5).T)
+
+
+def _by_size(index: Index, item: np.ndarray) -> Iterator[np.ndarray]:
     """Candidates of one window size together, some thousands at a time."""
-    for size in np.unique(index.size[window]):
-        some = np.flatnonzero(index.size[window] == size)
+    for size in np.unique(index.size[item]):
+        some = np.flatnonzero(index.size[item] == size)
         for lo in range(0, len(some), 4096):
             yield some[lo : lo + 4096]
 
 
-def align(index: Index, data: np.ndarray, bounds: np.ndarray, text: np.ndarray, window: np.ndarray, band: np.ndarray):
+def align(index: Index, data: np.ndarray, bounds: np.ndarray, text: np.ndarray, item: np.ndarray, start: np.ndarray, band: np.ndarray):
     """Least edits of whole windows against the text within each band, and where the best one ends."""
-    size, edits = int(index.size[window[0]]), int(index.edits[window[0]])
+    size, edits = int(index.size[item[0]]), int(index.edits[item[0]])
     step = edits + 1
     width = 2 * step
-    low = band * step  # the band's first diagonal
+    low = band * step + start  # where the window starts on the band's first diagonal
     column = np.arange(width)
+    body = index.base[item] + start
+    lower, upper = bounds[text][:, None], bounds[text + 1][:, None]
     cost = np.zeros((len(band), width), np.int32)
     for i in range(size):
         at = low[:, None] + i + column
-        inside = (at >= bounds[text][:, None]) & (at < bounds[text + 1][:, None])
+        inside = (at >= lower) & (at < upper)
         letter = data[np.clip(at, 0, len(data) - 1)]
-        wrong = (letter != index.data[index.start[window] + i][:, None]) | ~inside
+        wrong = (letter != index.data[body + i][:, None]) | ~inside
         new = cost + wrong
         new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
         cost = np.minimum.accumulate(new - column, axis=1) + column
@@ -180,36 +253,35 @@ def align(index: Index, data: np.ndarray, bounds: np.ndarray, text: np.ndarray,
 
 
 def _finder(tables, only_clean: bool):
-    indexes: list[Index] = []
+    built: list[list[Index]] = []
 
-    def found(part, data, bounds):
-        if not indexes:
-            indexes.append(Index(*tables.value))
-        index = indexes[0]
+    def found(data, bounds):
+        """Original places of the compared bytes, and the matches of each index."""
+        if not built:
+            built.append(indexes(*tables.value))
         body, limits, place = plain(data, bounds)
-        text, window, end, edits = matches(index, body, limits)
-        return index, limits, place, text, window, end, edits
+        return place, [(index, *matches(index, body, limits)) for index in built[0]]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in bytesnp.portions(batches, "text"):
             keep = np.ones(part.num_rows, bool)
-            keep[found(part, data, bounds)[3]] = False
+            for _, text, *_ in found(data, bounds)[1]:
+                keep[text] = False
             yield part.filter(pa.array(keep))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in bytesnp.portions(batches, "text"):
-            index, limits, place, text, window, end, edits = found(part, data, bounds)
-            if not len(text):
+            place, some = found(data, bounds)
+            if not any(len(text) for _, text, *_ in some):
                 continue
             points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]  # code points before each byte
-            first = np.maximum(end - index.size[window], limits[text])
-            last = np.minimum(end, limits[text + 1])
+            text, first, end, edits = (np.concatenate([x[k] for x in some]) for k in (1, 3, 4, 5))
             start = points[place[np.minimum(first, len(place) - 1)]] - points[bounds[text]]
-            stop = points[place[last - 1] + 1] - points[bounds[text]]
+            stop = points[place[end - 1] + 1] - points[bounds[text]]
             table = pa.table(
                 {
                     "row": pa.array(text),
-                    "item_id": pa.array([index.item[w] for w in window], pa.int64()),
+                    "item_id": pa.array([x[0].item[k] for x in some for k in x[2]], pa.int64()),
                     "start": pa.array(start, pa.int64()),
                     "end": pa.array(stop, pa.int64()),
                     "edits": pa.array(edits, pa.int64()),
@@ -245,11 +317,12 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, start, end, edits, n_places) for every row and item that match.
 
-    A row matches an item if any window of the item (all of it if shorter than 96 bytes) stands in
-    the text with at most one edit in ten bytes. ``start`` and ``end`` (code points, as far as the
-    edit budget is exact) hold the first and last place, ``edits`` the least edits of a window.
-    Items below 24 compared bytes are too common to tell anything and match nothing; null and empty
-    texts match nothing; null ids are kept as they are. A repeated row gives its own rows; repeated
+    A row matches an item if any 96 bytes of the item, from whatever byte on (all of it if shorter),
+    stand in the text with at most one edit in ten bytes. ``start`` and ``end`` (code points, as far
+    as the edit budget is exact) hold the first and last place, ``edits`` the least edits of a window,
+    ``n_places`` how many windows and ends were found. Items below 24 compared bytes must stand in the
+    text as they are, as words of their own; those below 8, single words mostly, must be the whole
+    text. Null and empty texts match nothing; null ids are kept as they are. A repeated row gives its own rows; repeated
     items count once. No rows on either side give none. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")

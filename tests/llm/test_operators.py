@@ -186,6 +186,49 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.contaminated(every, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_quotes_at_every_offset(spark):
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefgh ijklmnop") for _ in range(n)).replace("  ", "xy").replace(" ", "q", 1)
+    item = " ".join(letters(9).strip() for _ in range(40))
+    quotes, wanted = [], {}
+    for size in (60, 96, 105, 120, 142):
+        for at in range(len(item) - size + 1):
+            quote = item[at : at + size]
+            if at % 3 == 1:  # some edits, fewer than one in ten bytes of any window
+                quote = "".join("0" if k % 17 == 5 else c for k, c in enumerate(quote))
+            quotes.append((len(quotes), f"ZZ {quote} ZZ"))
+            wanted[len(quotes) - 1] = size >= 96
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(quotes, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r for r in decontaminate.contaminated(docs, bench).collect()}
+    assert set(found) == {k for k, hit in wanted.items() if hit}
+    for k, r in found.items():
+        assert abs(r["start"] - 3) <= 9 and abs(r["end"] - (len(quotes[k][1]) - 3)) <= 9
+
+
+def test_decontaminate_short_items(spark):
+    thirty = "abcdefg1hijklmn2opqrstu3vwxyz4"
+    bench = spark.createDataFrame(
+        [(1, "What is 2+2?"), (2, "Is it Paris"), (3, "yes"), (4, thirty), (5, "東京都にある")], "item_id long, text string"
+    )
+    rows = [
+        (0, "He asked: what is 2 + 2? And so on."),
+        (1, "What is 2+23, you say"),
+        (2, "this it Paris"),
+        (3, "well, is it  PARIS!"),
+        (4, "Yes."),
+        (5, "yes indeed"),
+        (6, "before " + "abcdefg_hijklmn_opqrstu_vwxyz4" + " after"),
+        (7, "昔東京都にある家"),
+        (8, None),
+        (9, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == {(0, 1), (3, 2), (4, 3), (6, 4), (7, 5)}
+    assert {r["doc_id"] for r in decontaminate.decontaminated(docs, bench).collect()} == {1, 2, 5, 8, 9}
+
+
 def test_secrets(docs, none):
     assign = re.compile(r"(?:%s)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)" % "|".join(
         "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")
