@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.manifest import manifest_entry, manifest_line
-from feedlake.functions.paths import directory, entity_of, file_name
+from feedlake.functions.paths import directory, entity_of, file_name, scanned_path
 from feedlake.functions.rows import with_audit
 from feedlake.functions.text import is_blank
 from feedlake.operators.filters import allowed, for_entity
@@ -26,10 +26,9 @@ from feedlake.sources.control import control_records, control_table
 from feedlake.sources.framed import data_records, inventory
 
 
-def _path() -> Column:
-    """Path of a file as its scan sees it; predicates over it prune files."""
-    return F.col("_metadata.file_path")
-
+def placed(rules: Rules, pattern: str) -> Rules:
+    """The rules with the organisation where the input pattern has it."""
+    return replace(rules, layout=rules.layout.placed(pattern))
 
 
 @dataclass(frozen=True)
@@ -77,11 +76,11 @@ def _in_list(column: Column, allow: DataFrame, name: str) -> Pruning:
 
 def _in_entities(entities: DataFrame, rules: Rules) -> Pruning:
     wanted = for_entity(entities, F.col("entity"), rules.entity)
-    return _in_list(F.upper(entity_of(file_name(_path()))), wanted, "entity")
+    return _in_list(F.upper(entity_of(file_name(scanned_path()))), wanted, "entity")
 
 
 def _in_practices(lists: AllowLists, rules: Rules) -> Pruning:
-    return _in_list(F.upper(rules.layout.org_id(_path())), lists.practices, "practice_id")
+    return _in_list(F.upper(rules.layout.org_id(scanned_path())), lists.practices, "practice_id")
 
 
 def directories_load(
@@ -114,7 +113,8 @@ def directory_load(
     rules: Rules = Rules(),
 ) -> Load:
     """Load every allowed entity file below the directories of allowed practices."""
-    return directories_load(spark, [landing_path(input_path, date)], lists, golden, rules)
+    path = landing_path(input_path, date)
+    return directories_load(spark, [path], lists, golden, placed(rules, path))
 
 
 def _controls(
@@ -152,13 +152,14 @@ def manifest_load(
     landing root and date.
     """
     path = landing_path(input_path, date)
+    rules = placed(rules, path)
     everywhere = rules.layout.any_org(path)
-    division = rules.layout.org_id(_path())
+    division = rules.layout.org_id(scanned_path())
     is_division = _in_list(division, lists.divisions, "org_id").predicate
     found = inventory(spark, [everywhere])
     controls = _controls(spark, [everywhere], found, rules)
 
-    records = data_records(spark, [path], is_division & F.contains(F.upper(_path()), F.lit("MANIFEST")))
+    records = data_records(spark, [path], is_division & F.contains(F.upper(scanned_path()), F.lit("MANIFEST")))
     entries = materialise(
         manifest_entries(
             allowed(records, rules.layout.org_id(F.col("file_path")), lists.divisions, "org_id")
@@ -179,7 +180,7 @@ def manifest_load(
     named = expanded.where("found").select("file_path").distinct()
     wanted = for_entity(named, entity_of(file_name(F.col("file_path"))), rules.entity)
     files = materialise(found.join(wanted, "file_path", "left_semi"))
-    by_path = _in_list(_path(), files, "file_path")
+    by_path = _in_list(scanned_path(), files, "file_path")
     if not by_path.exact:
         by_path = by_path & _in_practices(lists, rules) & _in_entities(lists.entities, rules)
     rows = routed_rows(

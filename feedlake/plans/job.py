@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedlake.operators import audit, sinks
 from feedlake.operators.filters import facility_route
-from feedlake.plans.ingest import AllowLists, Load, directory_load, manifest_load
+from feedlake.plans.ingest import AllowLists, Load, directory_load, manifest_load, placed
 from feedlake.plans.load import Rules
 
 LOADS = {"divisional": manifest_load, "path": directory_load}
@@ -129,6 +129,8 @@ def run_requested(
     A facility on the division list, or the id that stands for all divisions, is loaded by its
     manifests, any other one by its directories.
     """
+    if "*" in source:  # the facility takes the place of the wildcard
+        rules = placed(rules, source)
     runs = requested_runs(controls, lists.divisions, source).distinct().collect()
     for r in runs:
         kind = "path" if r["run_type"] == "path" else "divisional"

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.functions.paths import Layout, directory, entity_of, file_kind, file_name
+from feedlake.functions.paths import Layout, directory, entity_of, file_kind, file_name, scanned_path
 from feedlake.functions.rows import LOAD_FLAG
 from feedlake.operators.joins import with_job_id
 from feedlake.operators.rows import route
@@ -142,7 +142,7 @@ def routed_rows(
     tables = materialise(golden_by_entity(golden))
     by_entity = broadcast_if_small(tables, broadcast_bytes)
     jobs = broadcast_if_small(controls.select("dir", "job_id"), broadcast_bytes)
-    keep = keep & (file_kind(F.col("_metadata.file_path")) == "data")
+    keep = keep & (file_kind(scanned_path()) == "data")
 
     def prepared(df: DataFrame) -> DataFrame:
         described = with_job_id(_described(df, rules), directory(F.col("file_path")), jobs)

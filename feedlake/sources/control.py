@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.manifest import CONTROL_FIELDS, control_entry
-from feedlake.functions.paths import CONTROL_NAME, directory, file_kind, file_name
+from feedlake.functions.paths import CONTROL_NAME, directory, file_kind, file_name, scanned_path
 from feedlake.functions.text import RS, control_to_fields
 
-PATH = "_metadata.file_path"
-
 
 def first_lines(lines: DataFrame) -> DataFrame:
     """First line per file from (file_path, position, value); combines before the shuffle."""
@@ -22,9 +20,9 @@ def first_lines(lines: DataFrame) -> DataFrame:
 def control_table(spark: SparkSession, paths: Sequence[str], job_field: int = 3) -> DataFrame:
     """(dir, facility, from_date, to_date, job_id, path), one row per directory."""
     lines = spark.read.option("recursiveFileLookup", "true").text(list(paths)).where(
-        F.upper(file_name(F.col(PATH))) == CONTROL_NAME
+        F.upper(file_name(scanned_path())) == CONTROL_NAME
     ).select(
-        F.col(PATH).alias("file_path"),
+        scanned_path().alias("file_path"),
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("position"),
         "value",
     )
@@ -41,6 +39,6 @@ def control_table(spark: SparkSession, paths: Sequence[str], job_field: int = 3)
 def control_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(file_path, value): control records with the feed's field separator."""
     scan = spark.read.option("recursiveFileLookup", "true").text(list(paths), lineSep=RS)
-    return scan.where(file_kind(F.col(PATH)) == "control").select(
-        F.col(PATH).alias("file_path"), control_to_fields(F.col("value")).alias("value")
+    return scan.where(file_kind(scanned_path()) == "control").select(
+        scanned_path().alias("file_path"), control_to_fields(F.col("value")).alias("value")
     )

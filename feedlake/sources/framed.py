@@ -15,13 +15,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.functions.paths import directory, entity_of, file_kind, file_name
+from feedlake.functions.paths import directory, entity_of, file_kind, file_name, literal_glob, scanned_path
 from feedlake.functions.text import HEADER_RECORDS, RS
 from feedlake.scale import conf_bytes, literal_values, materialise, shared_dir
 
@@ -87,10 +86,10 @@ def inventory(spark: SparkSession, paths: Sequence[str], keep: Column | None = N
         files = files.where(keep)
     target = shared_dir(spark)
     files.select(
-        _meta("file_path").alias("file_path"),
+        scanned_path().alias("file_path"),
         _meta("file_size").alias("file_size"),
         _meta("file_modification_time").alias("modified"),
-        file_kind(_meta("file_path")).alias("kind"),
+        file_kind(scanned_path()).alias("kind"),
     ).write.parquet(target)
     return spark.read.schema(INVENTORY).parquet(target)
 
@@ -101,7 +100,7 @@ def small_files(spark: SparkSession, paths: Sequence[str], keep: Column) -> Data
     if scan is None:
         return None
     return scan.where((_meta("file_size") <= whole_file_bytes(spark)) & keep).select(
-        _meta("file_path").alias("file_path"), F.col("value").alias("content")
+        scanned_path().alias("file_path"), F.col("value").alias("content")
     )
 
 
@@ -111,7 +110,7 @@ def _below(folders: list[str]) -> list[str]:
     for folder in sorted(folders):
         if not (kept and folder.startswith(kept[-1])):
             kept.append(folder)
-    return [re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(f)) for f in kept]
+    return [literal_glob(f) for f in kept]
 
 
 def places_of(files: DataFrame) -> tuple[list[str], str] | None:
@@ -146,7 +145,7 @@ def large_file_records(
     if scan is None:
         return None
     return scan.where((_meta("file_size") > whole_file_bytes(spark)) & keep).select(
-        _meta("file_path").alias("file_path"),
+        scanned_path().alias("file_path"),
         _meta("file_block_start").alias("block_start"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("block_row"),
         "value",
@@ -196,18 +195,21 @@ def head_reader(separator: bytes = RS.encode(), chunk: int = _CHUNK, limit: int
     """
 
     def first_two(path):
-        from urllib.parse import unquote, urlparse
+        import re
+        from urllib.parse import quote, unquote
 
         from pyarrow import fs
 
-        url = urlparse(path)
+        scheme, rest = re.fullmatch(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)", path).groups()
         head = b""
         try:
-            if url.scheme in ("", "file"):
-                system, inner = fs.LocalFileSystem(), unquote(url.path)
+            if scheme in (None, "file"):
+                system, inner = fs.LocalFileSystem(), re.sub("^//[^/]*", "", rest)
+                if system.get_file_info(inner).type == fs.FileType.NotFound:  # given percent-escaped
+                    inner = unquote(inner)
             else:
-                scheme = "s3" if url.scheme in ("s3a", "s3n") else url.scheme
-                system, inner = fs.FileSystem.from_uri(scheme + path[len(url.scheme) :])
+                scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+                system, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe="/:@!$&'()*+,;=~")}")
             with system.open_input_stream(inner) as stream:
                 while head.count(separator) < 2 and len(head) < limit:
                     block = stream.read(chunk)

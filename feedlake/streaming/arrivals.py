@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedlake.functions.paths import CONTROL_NAME, directory
+from feedlake.functions.paths import CONTROL_NAME, directory, literal_glob
 from feedlake.operators.sinks import wants_compaction, write_rows
-from feedlake.plans.ingest import AllowLists, directories_load
+from feedlake.plans.ingest import AllowLists, directories_load, placed
 from feedlake.plans.load import Rules
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -54,9 +54,11 @@ def load_arrivals(
     ``batch={id}`` folder, so a batch that is repeated after a failure changes nothing.
     """
 
+    rules = placed(rules, glob)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        dirs = [r["dir"] for r in batch.distinct().collect()]
+        dirs = [literal_glob(r["dir"]) for r in batch.distinct().collect()]
         if not dirs:
             return
         load = directories_load(session, dirs, lists, golden, rules)

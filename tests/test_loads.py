@@ -291,6 +291,63 @@ def test_requested_runs(spark, landing, golden, lists, tmp_path):
     assert (status["job_id"], status["facility"]) == ("JOB416", "416")
 
 
+ODD_ORGS = ("AB 1", "A+B", "50%", "7%41")
+
+
+def odd_names(landing):
+    """A root that holds /data/ twice, with names that scans give percent-escaped."""
+    landing.root = landing.root / "data" / "la ke+1%"
+    for org in ODD_ORGS:
+        rows = [[str(k), f"of {org}", "1"] for k in range(40)]
+        landing.entity(org, "2015-09-01", "allergy", A_TITLES, A_TYPES, rows, stamp="a b+c%41")
+        landing.control(org, "2015-09-01", f"J{org}")
+    return {("ok", f"allergy_4.0_a b+c%41_{org}.asv", org, "2015-09-01", f"J{org}", 40) for org in ODD_ORGS}
+
+
+def landed(rows):
+    key = ["verdict", "source_file", "org_id", "feed_date", "job_id"]
+    return {tuple(r) for r in rows.where("verdict <> 'file'").groupBy(*key).count().collect()}
+
+
+@pytest.mark.parametrize("size", ["small", "large"])
+def test_names_that_scans_escape_below_two_data_folders(spark, landing, golden, lists, tmp_path, size, request):
+    from dataclasses import replace
+
+    from feedlake.streaming.arrivals import load_arrivals
+
+    if size == "large":
+        request.getfixturevalue("tiny_splits")
+    want = odd_names(landing)
+    lists = replace(lists, practices=spark.createDataFrame([(o,) for o in ODD_ORGS], "practice_id string"))
+    assert landed(directory_load(spark, landing.source, "2015-09*", lists, golden).rows) == want
+    names = [f"allergy_4.0_a b+c%41_{org}.asv" for org in ODD_ORGS]
+    landing.manifest("2208", "2015-09-01", [[n, "40", "h", "t"] for n in names])
+    loaded = manifest_load(spark, landing.source, "2015-09-01", lists, golden)
+    assert landed(loaded.rows) == want
+    assert loaded.missing_files.isEmpty()
+    out = str(tmp_path / "out")
+    load_arrivals(spark, str(landing.root / "data"), lists, golden, out, str(tmp_path / "checkpoint")).awaitTermination()
+    assert landed(spark.read.parquet(out + "/batch=*")) == want
+
+
+def test_organisation_stands_where_the_pattern_has_it(spark):
+    layout = Rules().layout
+    for pattern, path in (
+        ("/lake/data/x/data/*/feed/finished/2015*", "file:///lake/data/x/data/416/feed/finished/2015-09-01/"),
+        ("hdfs://name:9/data/x/data/4*/data/finished/2015*", "hdfs://name:9/data/x/data/416/data/finished/2015-09-01/"),
+        ("/lake/data/x/data", "file:/lake/data/x/data/416/finished/2015-09-01/"),
+        ("/finished/data/416/finished/2015*", "/finished/data/416/finished/2015-09-01/"),
+    ):
+        at = layout.placed(pattern)
+        row = spark.range(1).select(
+            at.org_id(F.lit(path)), at.feed_date(F.lit(path)), at.for_practice(F.lit(path), F.lit("9"))
+        ).first()
+        assert tuple(row) == ("416", "2015-09-01", path.replace("416", "9"))
+    assert layout.placed("/a/data/b/data/4*/finished").any_org("/a/data/b/data/4*/finished") == "/a/data/b/data/*/finished"
+    with pytest.raises(ValueError):
+        layout.placed("/lake/data/x/data/416/finished/2015*")
+
+
 @pytest.mark.parametrize("columns", [700, 1500])
 def test_wide_tables(spark, landing, lists, columns):
     """A table of many columns in reverse order, with personal data and numbers."""
