@@ -66,7 +66,7 @@ def _keys(key: np.ndarray, size: np.ndarray) -> pa.Array:
     return pa.array([k.tobytes() if s else None for k, s in zip(key, size, strict=True)], pa.binary())
 
 
-def _signer(id_col: str, text_col: str, words: int, slots: int, rows: int, fields: pa.Schema):
+def _signer(ids: list[str], text_col: str, words: int, slots: int, rows: int, fields: pa.Schema):
     bands = slots // rows
     salts = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -82,7 +82,7 @@ def _signer(id_col: str, text_col: str, words: int, slots: int, rows: int, field
             offsets = np.r_[0, np.cumsum(np.where(some, bands, 0))].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(id_col),
+                    *(part.column(c) for c in ids),
                     pa.array(size, pa.int64()),
                     _keys(key, size),
                     pa.ListArray.from_arrays(offsets, pa.array(hashes[some].view(np.int64).ravel())),
@@ -140,14 +140,28 @@ def near_duplicates(
     A null or wordless text has an empty set and is linked with nothing: its component is its own id.
     A null id never becomes a component's id unless all ids of the component are null. Repeated rows
     have equal sets, so they share a component and each is ``kept`` if its id is the component's. A
-    row that repeats an id with another text is linked by its own text. Columns other than these two
-    are not read, so clashing names do not matter.
+    row that repeats an id with another text is linked by its own text, and so is one with a null id.
+    Columns other than these two are not read, so clashing names do not matter.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return (
+        labelled(docs, words, percent, slots, rows)
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    )
+
+
+def labelled(docs: DataFrame, words: int, percent: int, slots: int = SLOTS, rows: int = ROWS, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keys…, n_shingles, component, component_id) of each row of (doc_id, text, keys…).
+
+    ``component`` names the component also where its ids are null; it is null for wordless texts.
+    ``keys`` are long columns.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = pa.schema(
         [
             ("doc_id", pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()),
+            *((c, pa.int64()) for c in keys),
             ("n_shingles", pa.int64()),
             ("node", pa.binary()),
             ("bands", pa.list_(pa.int64())),
@@ -156,8 +170,8 @@ def near_duplicates(
     )
     signed = materialise(
         docs.mapInArrow(
-            _signer("doc_id", "text", words, slots, rows, fields),
-            f"doc_id {kind}, n_shingles long, node binary, bands array<long>, sketch binary",
+            _signer(["doc_id", *keys], "text", words, slots, rows, fields),
+            f"doc_id {kind}, {''.join(f'{c} long, ' for c in keys)}n_shingles long, node binary, bands array<long>, sketch binary",
         )
     )
     classes = materialise(
@@ -165,19 +179,15 @@ def near_duplicates(
         .groupBy("node")
         .agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )
-    labels = _linked(docs, classes, words, percent)
+    labels = _linked(docs.select("doc_id", "text"), classes, words, percent)
     smallest = classes.select("node", "first_id").join(labels, "node").groupBy("root").agg(
         F.min("first_id").alias("component_id")
     )
-    grouped = labels.join(smallest, "root").select("node", "component_id")
+    grouped = labels.join(smallest, "root").select("node", "root", "component_id")
     alone = classes.select("node", "first_id").join(grouped, "node", "left")
-    alone = alone.select("node", F.coalesce("component_id", "first_id").alias("component_id"))
-    return (
-        signed.select("doc_id", "n_shingles", "node")
-        .join(alone, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
-    )
+    alone = alone.select("node", F.coalesce("root", "node").alias("component"), F.coalesce("component_id", "first_id").alias("component_id"))
+    names = ["doc_id", *keys, "n_shingles"]
+    return signed.select(*names, "node").join(alone, "node", "left").select(*names, "component", "component_id")
 
 
 def _linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -189,13 +199,16 @@ def _linked(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     weight = members.groupBy("node").agg(F.sum("members").alias("weight"))
     members = materialise(members.join(weight, "node"))
     sketches = materialise(classes.join(weight.select("node"), "node").select("node", "first_id", "sketch"))
-    wanted = small(sketches.select("first_id", "node"))
+    wanted = small(sketches.select("node"))
     firsts = small(sketches.select(F.col("first_id").alias("doc_id")).distinct())
-    sets = docs.join(firsts, "doc_id", "left_semi").mapInArrow(
+    held = docs.join(firsts, "doc_id", "left_semi")
+    if not sketches.where("first_id is null").isEmpty():  # classes of rows without ids
+        held = held.unionByName(docs.where("doc_id is null"))
+    sets = held.mapInArrow(
         _set_maker("doc_id", "text", words),
         f"first_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, set binary",
     )
-    sets = materialise(sets.join(wanted, ["first_id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "set"))
+    sets = materialise(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", "set"))
 
     links = classes.select(F.col("node").alias("x"), F.col("node").alias("y")).limit(0)
     tried = links

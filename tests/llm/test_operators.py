@@ -333,6 +333,16 @@ def test_near_duplicates(spark, docs, none, monkeypatch, words, percent, hot):
         assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_copies_without_ids(spark):
+    rng = random.Random(4)
+    one, two = prose(rng, 150).split(), prose(rng, 150).split()
+    rows = [(None, " ".join(one)), (7, " ".join([*one[:-1], "changed"])), (None, " ".join(two)), (None, " ".join([*two[:-1], "changed"]))]
+    every = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(every, words=3, percent=85)
+    same(found, [(None, 7, False), (7, 7, True), (None, None, True), (None, None, True)], ["doc_id", "component_id", "kept"])
+    assert near_dedup.labelled(every, 3, 85).select("component").distinct().count() == 2
+
+
 def test_licenses(docs, none):
     phrases = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
