@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.common import small, table
 from feedlake.llm.decontaminate import decontaminated
-from feedlake.llm.near_dedup import near_duplicates
+from feedlake.llm.near_dedup import labelled
 from feedlake.llm.packing import pack
 from feedlake.llm.quality_rules import judged
 from feedlake.llm.queries import tokenizer_path
@@ -25,21 +25,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, similarity 0.8) the smallest id stays.
+    """Of each group of near-duplicates (five words, similarity 0.8) the row of the smallest id stays.
 
-    Rows that repeat a kept id are reduced to one; rows with a null id stay.
+    A null id counts as the largest; among rows of one id and different texts a hash decides. Rows
+    are told apart by id and text together, and rows equal in both are reduced to one, the least by
+    all columns; so are wordless texts, which are near-duplicates of nothing.
     """
+    key = ["t1", "t2"]  # 128 bits of id and text
+    keyed = docs.withColumns({"t1": F.xxhash64("doc_id", "text"), "t2": F.xxhash64("text", F.lit(1), "doc_id")})
+    rows = materialise(
+        labelled(keyed.select("doc_id", "text", *key), 5, 80, keys=("t1", "t2"))
+        .groupBy(*key)
+        .agg(F.min("doc_id").alias("doc_id"), F.min("component").alias("component"), F.count("*").alias("times"))
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *key)
+    groups = rows.where("component is not null").groupBy("component").agg(F.min(order).alias("stays"), F.count("*").alias("n"))
+    groups = small(materialise(groups.where("n > 1").select("component", "stays")))
     found = materialise(
-        near_duplicates(docs, words=5, percent=80)
-        .groupBy("doc_id")
-        .agg(F.max("kept").alias("kept"), F.count("*").alias("times"))
-        .where("doc_id is not null and (not kept or times > 1)")
+        rows.join(groups, "component", "left")
+        .select(*key, "times", ((F.col("t1") != F.col("stays.t1")) | (F.col("t2") != F.col("stays.t2"))).alias("gone"))
+        .select(*key, "times", F.coalesce("gone", F.lit(False)).alias("gone"))
+        .where("gone or times > 1")
     )
-    rest = docs.join(small(found.select("doc_id")), "doc_id", "left_anti")
-    repeated = found.where("kept").select("doc_id")
+    rest = keyed.join(small(found.select(*key)), key, "left_anti").select(*docs.columns)
+    repeated = found.where("not gone").select(*key)
     if not repeated.isEmpty():
-        rest = rest.unionByName(docs.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return rest.select(*docs.columns)
+        one = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")
+        once = keyed.join(small(repeated), key, "left_semi").groupBy(*key).agg(one)
+        rest = rest.unionByName(once.select(*(F.col(f"row.`{c}`") for c in docs.columns)))
+    return rest
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,44 @@
+"""The stages of the pipeline against brute force, each on its own input."""
+
+from __future__ import annotations
+
+import random
+
+from test_operators import WORD, lower, prose
+
+import corpus_pipeline
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def deduplicated(rows):
+    """Texts per component of near-duplicates, and the least id of each; wordless texts apart."""
+    rows = sorted(set(rows), key=repr)
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for _, t, _ in rows for w in [WORD.findall(lower(t))]]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] != {()} and sets[b] != {()} and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                label = [label[b] if x == label[a] else x for x in label]
+    groups = {}
+    for x, row in zip(label, rows, strict=True):
+        groups.setdefault(x, []).append(row)
+    return list(groups.values())
+
+
+def test_near_dedup_tells_rows_by_id_and_text(spark):
+    rng = random.Random(6)
+    a, b, c, d, e = (prose(rng, 120) for _ in range(5))
+    rows = [
+        (1, a, "x"), (1, b, "x"), (1, a, "w"), (2, a + " more", "x"), (3, c, "x"), (3, c, "x"), (4, c + " more", "x"),
+        (4, d, "x"), (None, e, "x"), (None, e, "x"), (None, e + " more", "x"), (None, d + " more", "x"),
+        (5, None, "x"), (5, None, "x"), (6, "", "x"), (None, None, "x"),
+    ]
+    kept = [tuple(r) for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()]
+    groups = deduplicated(rows)
+    assert len(kept) == len(set(kept)) == len(groups)
+    for group in groups:
+        (own,) = [r for r in kept if r in group]
+        ids = [r[0] for r in group if r[0] is not None]
+        assert own[0] == min(ids, default=None)
+        assert own == min(r for r in group if r[:2] == own[:2])
