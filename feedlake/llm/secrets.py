@@ -1,7 +1,8 @@
 """Secret scans: candidate spans, and how many owners and repositories share each value.
 
 Spans come from one regular expression per kind. A value that turns up with many owners is a widely
-copied example; one that belongs to one or a few owners looks live. Values are compared by hash and
+copied example, and so is one in very many repositories of one owner; one that belongs to one or a few
+owners, in some repositories, looks live. Values are compared by hash and
 counted per (value, owner, repository) first, so a value that everyone copies stays small.
 """
 
@@ -41,7 +42,7 @@ EXTRA = (
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30, 0, ("eyj",)),
     Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*", 27, 0, ("private key",)),
 )
-MAX_OWNERS = 2
+MAX_OWNERS, MAX_REPOSITORIES = 2, 10
 _STEP = 256
 
 
@@ -109,13 +110,14 @@ def written(spans: str) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _judged(scan: DataFrame, max_owners: int) -> DataFrame:
-    """(row, start, rank, end, kind, live) of all candidates, by how many owners have the value."""
+def _judged(scan: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
+    """(row, start, rank, end, kind, live) of all candidates, by how many owners and repositories have the value."""
     found = scan.select("row", "owner", "repository", F.inline(F.concat("base", "extra"))).withColumn("hash", F.sha2("value", 256))
     copies = found.groupBy("hash", "owner", "repository").agg(F.count("*").alias("times"))
     owners = copies.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.sum("times").alias("times"))
     values = owners.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repositories").alias("n_repositories"))
-    live = values.select("hash", (F.col("n_owners") <= max_owners).alias("live"), "n_owners", "n_repositories")
+    few = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
+    live = values.select("hash", few.alias("live"), "n_owners", "n_repositories")
     return found.drop("value", "owner", "repository").join(live, "hash")
 
 
@@ -131,9 +133,9 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, owner: Column, repository
     return materialise(_scanned(docs, kinds).drop("text"))
 
 
-def _told(scan: DataFrame, max_owners: int) -> DataFrame:
+def _told(scan: DataFrame, max_owners: int, max_repositories: int) -> DataFrame:
     """Per row of the scan that has candidates: live extra spans and counts."""
-    found = _judged(scan, max_owners)
+    found = _judged(scan, max_owners, max_repositories)
     extra = F.col("live") & (F.col("rank") >= len(BASE))
     return found.groupBy("row").agg(
         F.collect_list(F.when(extra, F.struct("start", "rank", "end", "kind", F.lit("").alias("value")))).alias("added"),
@@ -151,17 +153,18 @@ def secret_report(
     repository: Column | None = None,
     kinds: tuple[Kind, ...] = EXTRA,
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """One row per input row: (doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example).
 
     Base spans are always listed; spans of ``kinds`` are added where at most ``max_owners`` owners have
-    the value. ``n_live`` and ``n_example`` count all candidates, base ones too, by that measure.
+    the value, in at most ``max_repositories`` repositories together. ``n_live`` and ``n_example`` count all candidates, base ones too, by that measure.
     ``owner`` and ``repository`` default to the columns ``source`` and ``source/lang`` where they
     exist; null ones are one nameless owner. A null text is empty and has no spans. Repeated rows are
     reported alike; copies with one owner count as one. Starts and ends are code points.
     """
     scan = _scan(docs, id_col, text_col, *_whose(docs, owner, repository), kinds)
-    told = _told(scan, max_owners)
+    told = _told(scan, max_owners, max_repositories)
     spans = F.concat("base", F.coalesce("added", F.filter("base", lambda s: F.lit(False))))
     zero = F.lit(0).cast("long")
     return (
@@ -191,6 +194,7 @@ def masked(
     text_col: str = "text",
     kinds: tuple[Kind, ...] = EXTRA,
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """``docs`` with every base span and every live span of ``kinds`` in the text replaced by ``mask``.
 
@@ -198,7 +202,7 @@ def masked(
     null texts stay null.
     """
     scan = _scan(docs, id_col, text_col, *_whose(docs, None, None), kinds)
-    spans = scan.where("size(base) > 0 or size(extra) > 0").join(_told(scan, max_owners), "row")
+    spans = scan.where("size(base) > 0 or size(extra) > 0").join(_told(scan, max_owners, max_repositories), "row")
     spans = spans.select("t1", "t2", F.sort_array(F.concat("base", "added")).alias("spans")).where("size(spans) > 0")
     merged = F.expr(
         "aggregate(spans, cast(array() as array<struct<start:int,end:int>>), (out, s) -> "

@@ -256,6 +256,15 @@ def test_copied_examples_are_told_from_live_secrets(spark):
     assert {r["doc_id"]: r["spans"] for r in found} == {i: "" for i in range(5)} | {9: "slack:5:35"}
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    many, some = "xoxb-111111111111-aaaaaaaaaaaa", "xoxb-222222222222-bbbbbbbbbbbb"
+    rows = [(i, f"see {many}", "me", f"lang{i}") for i in range(30)] + [(50 + i, f"see {some}", "me", f"lang{i}") for i in range(10)]
+    found = secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+    assert {r["doc_id"]: (r["spans"], r["n_live"], r["n_example"]) for r in found} == (
+        {i: ("", 0, 1) for i in range(30)} | {50 + i: ("slack:4:34", 1, 0) for i in range(10)}
+    )
+
+
 def test_packing(docs, none):
     from feedlake.llm.queries import tokenizer_path
     from tokenizers import Tokenizer
