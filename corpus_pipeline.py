@@ -79,7 +79,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The method of more than one stage is beyond SQL; tests hold the pipeline against brute force.
+#: The method of more than one stage is beyond SQL; tests/llm/test_pipeline.py holds the pipeline
+#: against brute force on a small table.
 ORACLE_SQL = None
 
 
