@@ -4,7 +4,8 @@ Documents of one length are interchangeable, so a packing is a list of bin patte
 a bin) and how often each is used. There are at most ``capacity`` lengths, which bounds an
 individual whatever the number of documents. Crossover injects another parent's well-filled bins,
 takes out what is then packed twice, and best-fits the displaced lengths into what is left. Each
-island is a Spark task with its own population; after every epoch the elites of all islands migrate.
+island is a Spark task with its own population, which it keeps; after every epoch its elites migrate to
+the next island. Epochs go on until several of them bring no gain.
 Documents then take their places by rank within their length, counted per slice and offset, so no
 length, however common, is gathered.
 """
@@ -27,7 +28,9 @@ from feedlake.llm import bytesnp
 from feedlake.scale import materialise
 
 CAPACITY = 4096
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4, 2, 3, 4
+ISLANDS, GENERATIONS, POPULATION, ELITES = 4, 8, 8, 2
+#: Epochs without a gain after which the search ends, and the least part of the bins that is a gain.
+PATIENCE, GAIN = 3, 0.0005
 SLICES = 64
 #: Words whose ids a worker keeps; beyond that it starts anew.
 WORDS = 500_000
@@ -109,7 +112,7 @@ def crossover(one: Packing, two: Packing, demand: dict[int, int], capacity: int,
 
 
 def evolve(population: list[Packing], demand: dict[int, int], capacity: int, seed: int) -> list[Packing]:
-    """Some generations on one island; the best come first."""
+    """Some generations on one island, each with as many children as parents; the best come first."""
     random = np.random.default_rng(seed)
     least = -(-sum(n * k for n, k in demand.items()) // capacity)
     population = population or [best_fit(demand, Packing(), capacity)]
@@ -119,41 +122,46 @@ def evolve(population: list[Packing], demand: dict[int, int], capacity: int, see
         population.sort(key=lambda p: cost(p, capacity))
         if sum(population[0].values()) <= least:
             break
-        i, j = random.integers(0, len(population), 2)
-        population.append(crossover(population[i], population[j], demand, capacity, random))
+        for _ in range(len(population)):
+            # the better of two, twice
+            i, j = (min(random.integers(0, POPULATION, 2)) % len(population) for _ in range(2))
+            population.append(crossover(population[i], population[j], demand, capacity, random))
         population = sorted(population, key=lambda p: cost(p, capacity))[:POPULATION]
     return sorted(population, key=lambda p: cost(p, capacity))
 
 
-def _island(demand: dict[int, int], capacity: int, epoch: int, elites: list[Packing]):
+def _island(demand: dict[int, int], capacity: int, epoch: int, populations: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for island in batch.column("id").to_pylist():
-                best = evolve([Packing(e) for e in elites], demand, capacity, 1000 * epoch + island)[0]
-                bins, filled = cost(best, capacity)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bins]), pa.array([filled]), pa.array([pickle.dumps(best)])], ["bins", "filled", "packing"]
-                )
+                population = evolve(pickle.loads(populations[island]), demand, capacity, 1000 * epoch + island)
+                yield pa.RecordBatch.from_arrays([pa.array([island]), pa.array([pickle.dumps(population)])], ["island", "population"])
 
     return run
 
 
 def pack_lengths(spark, demand: dict[int, int], capacity: int = CAPACITY) -> Packing:
     """The best packing of all islands; ``demand`` says how many pieces there are of each length."""
-    elites: list[Packing] = []
     if not demand:
         return Packing()
-    for epoch in range(EPOCHS):
+    least = -(-sum(n * k for n, k in demand.items()) // capacity)
+    populations: list[list[Packing]] = [[] for _ in range(ISLANDS)]
+    best, bins, epoch, idle = Packing(), float("inf"), 0, 0
+    while idle < PATIENCE and bins > least:  # as few as the lengths allow
         found = (
             spark.range(0, ISLANDS, 1, ISLANDS)
-            .mapInArrow(_island(demand, capacity, epoch, elites), "bins long, filled double, packing binary")
+            .mapInArrow(_island(demand, capacity, epoch, [pickle.dumps(p) for p in populations]), "island long, population binary")
             .collect()
         )
-        found.sort(key=lambda r: (r.bins, r.filled))
-        elites = [pickle.loads(r.packing) for r in found[:2]]
-        if found[0].bins * capacity - sum(n * k for n, k in demand.items()) < capacity:
-            break  # as few as the lengths allow
-    return elites[0]
+        populations = [pickle.loads(r.population) for r in sorted(found, key=lambda r: r.island)]
+        best = min((p[0] for p in populations), key=lambda p: cost(p, capacity))
+        now = sum(best.values())
+        idle = 0 if now <= bins - max(1, GAIN * now) else idle + 1
+        bins = min(bins, now)
+        elites = [p[:ELITES] for p in populations]
+        populations = [[*p[: POPULATION - ELITES], *elites[k - 1]] for k, p in enumerate(populations)]
+        epoch += 1
+    return best
 
 
 def _byte_letters() -> dict[int, str]:

@@ -293,6 +293,16 @@ def test_packing(docs, none):
     assert packing.pack(none, tokenizer_path()).count() == 0
 
 
+def test_search_beats_best_fit_where_lengths_pack_badly(spark):
+    triples = [(a, b, 1000 - a - b) for k in range(200) for a, b in [np.random.default_rng(k).integers(260, 370, 2).tolist()]]
+    demand = dict(collections.Counter(n for t in triples for n in t))
+    best = packing.pack_lengths(spark, demand, 1000)
+    assert collections.Counter({n: k for n, k in demand.items()}) == collections.Counter(n for p, k in best.items() for n in p * k)
+    assert all(sum(p) <= 1000 for p in best)
+    assert sum(packing.best_fit(demand, packing.Packing(), 1000).values()) == 214
+    assert sum(best.values()) <= 209  # 200 would do
+
+
 def test_crossover_keeps_every_piece():
     import numpy as np
 
