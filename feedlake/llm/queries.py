@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.llm.chat_format import as_records, canonical_turns, formatted, read_back
 from feedlake.llm.common import table
 from feedlake.llm.decontaminate import contaminated
+from feedlake.llm.hard_negatives import hard_negatives, integer_vectors
 from feedlake.llm.html_text import extract_text
 from feedlake.llm.licenses import license_report
 from feedlake.llm.near_dedup import near_duplicates
@@ -16,16 +18,17 @@ from feedlake.llm.quality_model import quality_scores
 from feedlake.llm.quality_rules import rule_report
 from feedlake.llm.repeats import remove_repeats
 from feedlake.llm.secrets import secret_report
+from feedlake.llm.token_alignment import align_tokens
 
 
 def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +72,23 @@ def op10_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold(4) == 2)
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, folder, "embeddings"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return read_back(formatted(canonical_turns(as_records(rows, "conv_id", ["turn", "role", "text"]))))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,5 +102,8 @@ QUERIES = {
         op8_licenses,
         op9_html_text,
         op10_quality_model,
+        op11_hard_negatives,
+        op12_chat_format,
+        op13_token_alignment,
     )
 }
