@@ -2,7 +2,8 @@
 
 Documents of one length are interchangeable, so a packing is a list of bin patterns (the lengths in
 a bin) and how often each is used. There are at most ``capacity`` lengths, which bounds an
-individual whatever the number of documents. Crossover injects another parent's well-filled bins,
+individual whatever the number of documents. Bins that best fit fills to the brim are set aside; what
+is left open is evolved, as long as it takes more bins than its lengths need. Crossover injects another parent's well-filled bins,
 takes out what is then packed twice, and best-fits the displaced lengths into what is left. Each
 island is a Spark task with its own population, which it keeps; after every epoch its elites migrate to
 the next island. Epochs go on until several of them bring no gain.
@@ -12,6 +13,7 @@ length, however common, is gathered.
 
 from __future__ import annotations
 
+import json
 import pickle
 import re
 import zlib
@@ -19,9 +21,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm import bytesnp
@@ -31,9 +32,11 @@ CAPACITY = 4096
 ISLANDS, GENERATIONS, POPULATION, ELITES = 4, 8, 8, 2
 #: Epochs without a gain after which the search ends, and the least part of the bins that is a gain.
 PATIENCE, GAIN = 3, 0.0005
-SLICES = 64
-#: Words whose ids a worker keeps; beyond that it starts anew.
-WORDS = 500_000
+#: Pieces of one length that are numbered together, and the most such slices besides one a length.
+SLICE, SLICES = 500, 50_000
+#: Words whose ids a task keeps (some 30 bytes each), parts of words that it keeps, and bytes of text that
+#: it takes at once. Beyond its limit a table starts anew.
+WORDS, PARTS, PORTION = 500_000, 20_000, 1 << 20
 
 Packing = Counter  # pattern (lengths, descending) -> how many bins
 
@@ -115,7 +118,6 @@ def evolve(population: list[Packing], demand: dict[int, int], capacity: int, see
     """Some generations on one island, each with as many children as parents; the best come first."""
     random = np.random.default_rng(seed)
     least = -(-sum(n * k for n, k in demand.items()) // capacity)
-    population = population or [best_fit(demand, Packing(), capacity)]
     while len(population) < POPULATION and sum(population[0].values()) > least:
         population.append(best_fit(demand, Packing(), capacity, random))
     for _ in range(GENERATIONS):
@@ -130,11 +132,15 @@ def evolve(population: list[Packing], demand: dict[int, int], capacity: int, see
     return sorted(population, key=lambda p: cost(p, capacity))
 
 
-def _island(demand: dict[int, int], capacity: int, epoch: int, populations: list[bytes]):
+def _least(demand: dict[int, int], capacity: int) -> int:
+    return -(-sum(n * k for n, k in demand.items()) // capacity)
+
+
+def _island(demand: dict[int, int], capacity: int, epoch: int, populations):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for island in batch.column("id").to_pylist():
-                population = evolve(pickle.loads(populations[island]), demand, capacity, 1000 * epoch + island)
+                population = evolve(pickle.loads(populations.value[island]), demand, capacity, 1000 * epoch + island)
                 yield pa.RecordBatch.from_arrays([pa.array([island]), pa.array([pickle.dumps(population)])], ["island", "population"])
 
     return run
@@ -142,17 +148,19 @@ def _island(demand: dict[int, int], capacity: int, epoch: int, populations: list
 
 def pack_lengths(spark, demand: dict[int, int], capacity: int = CAPACITY) -> Packing:
     """The best packing of all islands; ``demand`` says how many pieces there are of each length."""
-    if not demand:
-        return Packing()
-    least = -(-sum(n * k for n, k in demand.items()) // capacity)
-    populations: list[list[Packing]] = [[] for _ in range(ISLANDS)]
-    best, bins, epoch, idle = Packing(), float("inf"), 0, 0
-    while idle < PATIENCE and bins > least:  # as few as the lengths allow
-        found = (
-            spark.range(0, ISLANDS, 1, ISLANDS)
-            .mapInArrow(_island(demand, capacity, epoch, [pickle.dumps(p) for p in populations]), "island long, population binary")
-            .collect()
-        )
+    start = best_fit(demand, Packing(), capacity)
+    full = Packing({p: n for p, n in start.items() if sum(p) == capacity})
+    best, rest = start - full, Counter()
+    for pattern, times in best.items():
+        for length in pattern:
+            rest[length] += times
+    least, bins = _least(rest, capacity), sum(best.values())
+    populations: list[list[Packing]] = [[best] for _ in range(ISLANDS)]
+    epoch = idle = 0
+    while idle < PATIENCE and bins > least:  # as few as the open lengths allow
+        shipped = spark.sparkContext.broadcast([pickle.dumps(p) for p in populations])
+        found = spark.range(0, ISLANDS, 1, ISLANDS).mapInArrow(_island(rest, capacity, epoch, shipped), "island long, population binary").collect()
+        shipped.unpersist()
         populations = [pickle.loads(r.population) for r in sorted(found, key=lambda r: r.island)]
         best = min((p[0] for p in populations), key=lambda p: cost(p, capacity))
         now = sum(best.values())
@@ -161,7 +169,7 @@ def pack_lengths(spark, demand: dict[int, int], capacity: int = CAPACITY) -> Pac
         elites = [p[:ELITES] for p in populations]
         populations = [[*p[: POPULATION - ELITES], *elites[k - 1]] for k, p in enumerate(populations)]
         epoch += 1
-    return best
+    return full + best
 
 
 def _byte_letters() -> dict[int, str]:
@@ -172,20 +180,37 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Encoder(dict):
-    """Ids of each word between blanks as little-endian bytes; rare words do not stay for good.
+    """Ids of each word between blanks as little-endian bytes; parts of words stay for a while.
 
     A word of ASCII and Latin-1 letters is taken apart here, and each part goes to the vocabulary's
-    merges alone; any other word goes through the whole tokenizer.
+    merges alone; any other word goes through the whole tokenizer. That takes a vocabulary that lower-cases,
+    drops white space and cuts words as ``STEPS`` says; with any other one ``plain`` is false.
     """
 
+    #: Normalizer and pre-tokenizer that the short cut stands for.
+    STEPS = (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+    )
+
     LETTERS = re.compile("[a-zß-öø-ÿ]+")
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        steps = json.loads(self.tokenizer.to_str())
+        special = all(t["content"].startswith("<|") for t in steps["added_tokens"])
+        self.plain = (steps["normalizer"], steps["pre_tokenizer"]) == self.STEPS and special
+        del steps
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         bytesnp.release()  # what reading the vocabulary took
@@ -194,27 +219,58 @@ class _Encoder(dict):
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
         return b"".join([t.id.to_bytes(4, "little") for t in self.merge(letters)])
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORDS:
-            self.clear()
+    def ids(self, word: str) -> bytes:
         lower = word.lower()
         if self.LETTERS.fullmatch(lower):
-            found = self._merged(lower)
-        elif self.PLAIN.fullmatch(word) and "<|" not in word:
-            parts = self.PARTS.findall(lower)
-            found = self._merged(lower) if len(parts) == 1 else b"".join([self[p] for p in parts])
-        else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = found
+            return self._merged(lower)
+        if self.PLAIN.fullmatch(word) and "<|" not in word:
+            parts = self.SPLIT.findall(lower)
+            return self._merged(lower) if len(parts) == 1 else b"".join([self[p] for p in parts])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= PARTS:
+            self.clear()
+        found = self[part] = self.ids(part)
         return found
 
 
-_encoders: dict[str, _Encoder] = {}
+class _Words:
+    """Ids of the words seen so far, by hash: ascending hashes, where the ids of each start, how many."""
+
+    def __init__(self):
+        self.hashes, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, "<u4")
+
+    def learn(self, hashes: np.ndarray, spell) -> None:
+        """Add those of the ascending hashes that are new; ``spell`` gives the ids of the words at some places."""
+        place = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inner = place < len(self.hashes)
+        new[inner] = self.hashes[place[inner]] != hashes[inner]
+        if len(self.hashes) + np.count_nonzero(new) > WORDS:
+            self.__init__()
+            new[:], place = True, np.zeros(len(hashes), np.int64)
+        found = spell(np.flatnonzero(new))
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        at = len(self.flat) + np.cumsum(size, dtype=np.int32) - size
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), "<u4")])
+        self.hashes, self.at, self.size = (
+            np.insert(old, place[new], add) for old, add in ((self.hashes, hashes[new]), (self.at, at), (self.size, size))
+        )
+
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(self.hashes, hashes)
+        return self.at[place].astype(np.int64), self.size[place].astype(np.int64)
 
 
-def _ids(encoder: _Encoder, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _ids(encoder: _Encoder, words: _Words, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and where each text's begin; every distinct word is looked up once."""
     body = data.tobytes()
+    if not encoder.plain:
+        texts = [body[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        found = [np.array(e.ids, "<u4") for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, "<u4"), *found]), np.cumsum([0, *map(len, found)])
     if b"<|" not in body:  # special tokens are told by case
         data = bytesnp.LOWER[data]
         body = data.tobytes()
@@ -227,13 +283,17 @@ def _ids(encoder: _Encoder, data: np.ndarray, bounds: np.ndarray) -> tuple[np.nd
     stop = stop[((before >= 0x61) & (before <= 0x7A)) | latin]
     starts, ends = np.sort(np.concatenate([starts, stop])), np.sort(np.concatenate([ends, stop]))
     hashes = bytesnp.span_hashes(bytesnp.prefix_hashes(data), starts, ends)
-    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-    found = [encoder[body[a:b].decode()] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat, at = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+    distinct, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+
+    def spelt(new: np.ndarray) -> list[bytes]:
+        spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+        return [encoder.ids(body[a:b].decode()) for a, b in spans]
+
+    words.learn(distinct, spelt)
+    at, size = words.of(distinct)
     times = size[word]
     end = np.cumsum(times)
-    ids = flat[np.repeat(at[word] - end + times, times) + np.arange(end[-1] if len(end) else 0)]
+    ids = words.flat[np.repeat(at[word] - end + times, times) + np.arange(end[-1] if len(end) else 0)]
     return ids, np.r_[0, end][np.searchsorted(starts, bounds)]
 
 
@@ -242,9 +302,9 @@ def _tokens(path: str, end: int, capacity: int, others: list[str]):
     closing = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(path) or _encoders.setdefault(path, _Encoder(path))
-        for part, data, bounds in bytesnp.portions(batches, "text"):
-            all_ids, limits = _ids(encoder, data, bounds)
+        encoder, words = _Encoder(path), _Words()  # given back at the end of the task
+        for part, data, bounds in bytesnp.portions(batches, "text", PORTION):
+            all_ids, limits = _ids(encoder, words, data, bounds)
             row, piece, start, length, crc = [], [], [], [], []
             for i, (a, b) in enumerate(zip(limits[:-1], limits[1:], strict=True)):
                 ids = all_ids[a:b].tobytes() + closing
@@ -262,11 +322,13 @@ def _tokens(path: str, end: int, capacity: int, others: list[str]):
                 ],
                 [*others, "piece", "start", "length", "ids_crc32"],
             )
+        del encoder, words
+        bytesnp.release()
 
     return run
 
 
-def _places(packing: Packing) -> pd.DataFrame:
+def _places(packing: Packing) -> dict[str, np.ndarray]:
     """Runs of places: ranks ``low`` to ``low + bins - 1`` of a length go to consecutive sequences."""
     rows, used, first = [], Counter(), 0
     for pattern in sorted(packing, reverse=True):
@@ -276,7 +338,8 @@ def _places(packing: Packing) -> pd.DataFrame:
             used[length] += times
             offset += length
         first += times
-    return pd.DataFrame(rows, columns=["length", "low", "first", "offset"]).sort_values(["length", "low"])
+    table = np.array(sorted(rows), np.int64).reshape(-1, 4)
+    return dict(zip(("length", "low", "first", "offset"), table.T, strict=True))
 
 
 def _placer(runs, names: list[str]):
@@ -320,14 +383,17 @@ def pack(
             _tokens(tokenizer, end, capacity, ["doc_id"]),
             f"doc_id {kind}, piece int, start long, length long, ids_crc32 long",
         )
-        .withColumn("slice", F.expr(f"cast(pmod(xxhash64(doc_id, piece, ids_crc32), {SLICES}) as int)"))
     )
-    sizes = pieces.groupBy("length", "slice").agg(F.count("*").alias("n")).toPandas()
-    demand = {int(k): int(v) for k, v in sizes.groupby("length")["n"].sum().items()}
-    runs = spark.sparkContext.broadcast({c: v.to_numpy(np.int64) for c, v in _places(pack_lengths(spark, demand, capacity)).items()})
-    sizes = sizes.sort_values(["length", "slice"])
-    sizes["before"] = sizes.groupby("length")["n"].cumsum() - sizes["n"]
-    before = spark.createDataFrame(sizes[["length", "slice", "before"]], "length long, slice int, before long")
+    demand = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    runs = spark.sparkContext.broadcast(_places(pack_lengths(spark, demand, capacity)))
+    each = max(SLICE, -(-sum(demand.values()) // SLICES))
+    slices = spark.createDataFrame([(k, -(-n // each)) for k, n in demand.items()], "length long, slices long")
+    pieces = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "slices"))
+    before, used = [], Counter()
+    for r in sorted(pieces.groupBy("length", "slice").agg(F.count("*").alias("n")).collect()):
+        before.append((r.length, r.slice, used[r.length]))
+        used[r.length] += r.n
+    before = spark.createDataFrame(before, "length long, slice long, before long")
     return _ranked(pieces, before).mapInArrow(
         _placer(runs, names),
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
@@ -336,7 +402,5 @@ def pack(
 
 def _ranked(pieces: DataFrame, before: DataFrame) -> DataFrame:
     """Number the pieces of each length from 0: within a slice by a window, across slices by offset."""
-    from pyspark.sql import Window
-
     own: Column = F.row_number().over(Window.partitionBy("length", "slice").orderBy("doc_id", "piece", "ids_crc32"))
     return pieces.join(F.broadcast(before), ["length", "slice"]).withColumn("rank", F.col("before") + own - 1)

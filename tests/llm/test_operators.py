@@ -265,12 +265,13 @@ def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
     )
 
 
-def test_packing(docs, none):
+@pytest.mark.parametrize("vocabulary", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_packing(docs, none, vocabulary):
     from feedlake.llm.queries import tokenizer_path
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    rows = packing.pack(docs, tokenizer_path(), capacity=512).collect()
+    tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
+    rows = packing.pack(docs, tokenizer_path(vocabulary), capacity=512).collect()
     want = []
     for i, t in pairs(docs):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
@@ -288,9 +289,30 @@ def test_packing(docs, none):
             assert offset == end
             end += length
         assert end <= 512
-    # the sum of lengths is a lower bound that cannot always be met
-    assert len(bins) <= -(-sum(w[3] for w in want) // 512) + 1
-    assert packing.pack(none, tokenizer_path()).count() == 0
+    # lower bounds that cannot always be met: the sum of lengths, and a bin for each piece of over half
+    assert len(bins) <= max(-(-sum(w[3] for w in want) // 512), sum(w[3] > 256 for w in want)) + 1
+    assert packing.pack(none, tokenizer_path(vocabulary)).count() == 0
+
+
+def test_word_table_that_starts_anew_changes_nothing(docs, monkeypatch):
+    import pyarrow as pa
+    from feedlake.llm.queries import tokenizer_path
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [k for k, _ in pairs(docs)], "text": [t for _, t in pairs(docs)]})
+    run = packing._tokens(tokenizer_path(), 1, 512, ["doc_id"])
+    whole = [b.to_pydict() for b in run(iter([batch, batch]))]
+    monkeypatch.setattr(packing, "WORDS", 100)
+    monkeypatch.setattr(packing, "PARTS", 3)
+    assert [b.to_pydict() for b in run(iter([batch, batch]))] == whole
+
+
+def test_no_more_bins_than_best_fit_and_full_ones_stay(spark):
+    rng = np.random.default_rng(3)
+    demand = {int(n): int(k) for n, k in zip(range(1, 400, 3), rng.integers(1, 40, 133), strict=True)}
+    plain, best = packing.best_fit(demand, packing.Packing(), 1000), packing.pack_lengths(spark, demand, 1000)
+    assert sum(best.values()) <= sum(plain.values())
+    assert all(best[p] >= n for p, n in plain.items() if sum(p) == 1000)
+    assert collections.Counter(demand) == collections.Counter(n for p, k in best.items() for n in p * k)
 
 
 def test_search_beats_best_fit_where_lengths_pack_badly(spark):
