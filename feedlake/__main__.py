@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlake.plans.ingest import AllowLists
 from feedlake.plans.job import LOADS, Outputs, RunContext, run
 from feedlake.plans.load import Rules
+from feedlake.plans.requests import load_requests, requests_of
 from feedlake.sources import allowlists
 from feedlake.sources.catalog import golden_schema, jdbc_options, warehouse_query
 
@@ -24,7 +25,7 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("practice_list")
     p.add_argument("entity_list")
     p.add_argument("division_list")
-    p.add_argument("load", choices=sorted(LOADS))
+    p.add_argument("load", choices=[*sorted(LOADS), "requested"], help="requested: what the control files below input_path ask for")
     p.add_argument("mode", choices=["standard", "validate"], nargs="?", default="standard")
     p.add_argument("--catalog", required=True, help="catalog table name, or parquet path")
     p.add_argument("--database", help="keep catalog columns of this database")
@@ -56,6 +57,14 @@ def main(argv: list[str] | None = None) -> None:
         practices=allowlists.practices(spark, args.practice_list),
         entities=allowlists.entities(spark, args.entity_list),
     )
+    rules = Rules(entity=args.entity, validate=args.mode == "validate")
+    if args.load == "requested":
+        asked = requests_of(spark, args.input_path, args.date, rules)
+        outcome = load_requests(spark, asked, args.input_path, lists, catalog(spark, args), rules, args.out_path.rstrip("/"))
+        shown = outcome.orderBy("request", "entity")
+        print(f"{shown.count()} requests and entities")
+        shown.show(1000, truncate=False)
+        return
     outcome = run(
         spark,
         args.load,
@@ -64,9 +73,10 @@ def main(argv: list[str] | None = None) -> None:
         lists,
         catalog(spark, args),
         Outputs(args.out_path.rstrip("/"), text=args.text),
-        Rules(entity=args.entity, validate=args.mode == "validate"),
+        rules,
         RunContext(args.job_id, args.facility, args.input_path),
     )
+    print(f"{outcome.count()} entities, the first 1000 of them:")
     outcome.orderBy("entity").show(1000, truncate=False)
 
 

@@ -13,13 +13,13 @@ def counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("entity", "verdict").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def outcome(rows: DataFrame) -> DataFrame:
-    """(entity, n_ok, n_rejected, n_rejected_files, state) per entity."""
+def outcome(rows: DataFrame, *by: str) -> DataFrame:
+    """(entity, n_ok, n_rejected, n_rejected_files, state) per entity, or per other columns."""
     is_file = F.col("verdict") == FILE_RECORD
     bad_file = is_file & (F.col("file_verdict") != "ok")
     bad_row = ~is_file & (F.col("verdict") != "ok")
     return (
-        rows.groupBy("entity")
+        rows.groupBy(*(by or ["entity"]))
         .agg(
             F.count_if(F.col("verdict") == "ok").alias("n_ok"),
             F.count_if(bad_row).alias("n_rejected"),

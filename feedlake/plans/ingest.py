@@ -23,7 +23,7 @@ from feedlake.operators.joins import (
 from feedlake.plans.load import Rules, path_is_in, routed_rows
 from feedlake.scale import materialise
 from feedlake.sources.control import control_records, control_table
-from feedlake.sources.framed import data_records, inventory
+from feedlake.sources.framed import data_records, inventory, probe
 
 
 def placed(rules: Rules, pattern: str) -> Rules:
@@ -57,29 +57,18 @@ def landing_path(input_path: str, date: str) -> str:
     return f"{input_path.rstrip('/')}/{date}"
 
 
-@dataclass(frozen=True)
-class Pruning:
-    """Predicates over file metadata; ``exact`` when they let through nothing but the wanted files."""
-
-    predicate: Column
-    exact: bool
-
-    def __and__(self, other: Pruning) -> Pruning:
-        return Pruning(self.predicate & other.predicate, self.exact and other.exact)
-
-
-def _in_list(column: Column, allow: DataFrame, name: str) -> Pruning:
-    """Small lists prune files before they are opened; the rest of a long one is left to a join."""
+def _in_list(column: Column, allow: DataFrame, name: str) -> Column:
+    """Small lists prune files before they are opened; a long one leaves that to the probe of the inventory."""
     predicate = path_is_in(column, allow, name)
-    return Pruning(F.lit(True), False) if predicate is None else Pruning(predicate, True)
+    return F.lit(True) if predicate is None else predicate
 
 
-def _in_entities(entities: DataFrame, rules: Rules) -> Pruning:
+def _in_entities(entities: DataFrame, rules: Rules) -> Column:
     wanted = for_entity(entities, F.col("entity"), rules.entity)
     return _in_list(F.upper(entity_of(file_name(scanned_path()))), wanted, "entity")
 
 
-def _in_practices(lists: AllowLists, rules: Rules) -> Pruning:
+def _in_practices(lists: AllowLists, rules: Rules) -> Column:
     return _in_list(F.upper(rules.layout.org_id(scanned_path())), lists.practices, "practice_id")
 
 
@@ -88,7 +77,7 @@ def directories_load(
 ) -> Load:
     """Every allowed entity file of allowed practices below the paths."""
     practices = _in_practices(lists, rules)
-    found = inventory(spark, paths, practices.predicate)
+    found = inventory(spark, paths, practices)
     path = F.col("file_path")
     entity = F.upper(entity_of(file_name(path)))
     data = allowed(found.where(F.col("kind") == "data"), entity, lists.entities, "entity")
@@ -98,9 +87,7 @@ def directories_load(
     )
     wanted = practices & _in_entities(lists.entities, rules)
     controls = _controls(spark, paths, found, rules)
-    rows = routed_rows(
-        spark, paths, wanted.predicate, files, golden, controls, rules, only_listed=not wanted.exact
-    )
+    rows = routed_rows(spark, paths, wanted, files, golden, controls, rules)
     return Load(rows=rows, files=files)
 
 
@@ -122,7 +109,7 @@ def _controls(
 ) -> DataFrame:
     if found.where(F.col("kind") == "control").isEmpty():
         return spark.createDataFrame([], "dir string, job_id string")
-    return materialise(control_table(spark, paths, rules.job_field))
+    return materialise(control_table(spark, paths, rules.job_field, found.where(F.col("kind") == "control")))
 
 
 def manifest_entries(records: DataFrame) -> DataFrame:
@@ -138,6 +125,29 @@ def manifest_entries(records: DataFrame) -> DataFrame:
     )
 
 
+def named_files(
+    records: DataFrame, found: DataFrame, lists: AllowLists, rules: Rules
+) -> tuple[DataFrame, DataFrame]:
+    """Manifest records as entries, and the files that the usable ones name, ``found`` in the listing or not."""
+    entries = materialise(
+        manifest_entries(
+            allowed(records, rules.layout.org_id(F.col("file_path")), lists.divisions, "org_id")
+        )
+    )
+    usable = allowed(
+        allowed(
+            entries.where(F.col("status") == "ok"),
+            F.upper("practice_id"),
+            lists.practices,
+            "practice_id",
+        ),
+        F.upper("entity"),
+        lists.entities,
+        "entity",
+    )
+    return entries, materialise(against_listing(expand_manifest(usable, rules.layout), found))
+
+
 def manifest_load(
     spark: SparkSession,
     input_path: str,
@@ -155,44 +165,18 @@ def manifest_load(
     rules = placed(rules, path)
     everywhere = rules.layout.any_org(path)
     division = rules.layout.org_id(scanned_path())
-    is_division = _in_list(division, lists.divisions, "org_id").predicate
+    is_division = _in_list(division, lists.divisions, "org_id")
     found = inventory(spark, [everywhere])
     controls = _controls(spark, [everywhere], found, rules)
 
-    records = data_records(spark, [path], is_division & F.contains(F.upper(scanned_path()), F.lit("MANIFEST")))
-    entries = materialise(
-        manifest_entries(
-            allowed(records, rules.layout.org_id(F.col("file_path")), lists.divisions, "org_id")
-        )
-    )
-    usable = allowed(
-        allowed(
-            entries.where(F.col("status") == "ok"),
-            F.upper("practice_id"),
-            lists.practices,
-            "practice_id",
-        ),
-        F.upper("entity"),
-        lists.entities,
-        "entity",
-    )
-    expanded = materialise(against_listing(expand_manifest(usable, rules.layout), found))
+    manifests = F.contains(F.upper(scanned_path()), F.lit("MANIFEST"))
+    records = data_records(spark, [path], is_division & manifests, found.where(F.col("kind") == "manifest"))
+    entries, expanded = named_files(records, found, lists, rules)
     named = expanded.where("found").select("file_path").distinct()
     wanted = for_entity(named, entity_of(file_name(F.col("file_path"))), rules.entity)
     files = materialise(found.join(wanted, "file_path", "left_semi"))
-    by_path = _in_list(scanned_path(), files, "file_path")
-    if not by_path.exact:
-        by_path = by_path & _in_practices(lists, rules) & _in_entities(lists.entities, rules)
-    rows = routed_rows(
-        spark,
-        [everywhere],
-        by_path.predicate,
-        files,
-        golden,
-        controls,
-        rules,
-        only_listed=not by_path.exact,
-    )
+    keep = _in_list(scanned_path(), files, "file_path") & _in_practices(lists, rules) & _in_entities(lists.entities, rules)
+    rows = routed_rows(spark, [everywhere], keep, files, golden, controls, rules)
     return Load(
         rows=rows,
         files=files,
@@ -227,4 +211,5 @@ def _control_output(
     ).select("file_path")
     named = distinct_control_paths(expanded).select(F.col("control_path").alias("file_path"))
     wanted = own.unionByName(named).distinct()
-    return control_records(spark, [everywhere]).join(wanted, "file_path", "left_semi")
+    listed = found.where(F.col("kind") == "control").join(wanted, "file_path", "left_semi")
+    return probe(control_records(spark, [everywhere]), listed.select("file_path"))

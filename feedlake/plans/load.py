@@ -13,23 +13,18 @@ from feedlake.functions.rows import LOAD_FLAG
 from feedlake.operators.joins import with_job_id
 from feedlake.operators.rows import route
 from feedlake.operators.schema import LAYOUT_COLUMNS, WIDE_COLUMNS, resolve_layout
-from feedlake.scale import (
-    BROADCAST_BYTES,
-    broadcast_if_small,
-    fits_broadcast,
-    literal_values,
-    materialise,
-)
+from feedlake.scale import BROADCAST_BYTES, fits_broadcast, literal_values, materialise
 from feedlake.sources.catalog import golden_by_entity
 from feedlake.sources.framed import (
-    is_header_record,
     large_file_headers,
     large_file_records,
+    numbered,
+    probe,
     small_files,
     whole_file_bytes,
     with_header,
 )
-from feedlake.functions.text import RS
+from feedlake.functions.text import HEADER_RECORDS, RS
 
 ROUTED_COLUMNS = (
     "verdict",
@@ -44,12 +39,13 @@ ROUTED_COLUMNS = (
     "feed_date",
     "file_verdict",
     "extra_columns",
+    "record_no",
 )
 
 ROUTED_SCHEMA = (
     "verdict string, entity string, line string, n_fields int, load_flag string, "
     "job_id string, source_file string, file_path string, org_id string, feed_date string, "
-    "file_verdict string, extra_columns array<string>"
+    "file_verdict string, extra_columns array<string>, record_no bigint"
 )
 
 
@@ -82,32 +78,6 @@ def _described(df: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def with_layouts(records: DataFrame, headers: DataFrame, limit: int, chunk: int) -> DataFrame:
-    """Give every record of a large file the positions of its file.
-
-    Few files: the file list and the distinct layouts are broadcast. Beyond the size limit the
-    records are shuffled by file and byte range, so a file that holds much of the data spreads
-    over as many tasks as it has ranges.
-    """
-    kept = ["job_id", "entity", "source_file", "org_id", "feed_date"]
-    by_file = headers.select("file_path", "layout_id", *kept)
-    columns = [*LAYOUT_COLUMNS, *WIDE_COLUMNS]
-    layouts = headers.dropDuplicates(["layout_id"]).select("layout_id", *columns)
-    if fits_broadcast(by_file, limit) and fits_broadcast(layouts, limit):
-        return records.join(F.broadcast(by_file), "file_path").join(
-            F.broadcast(layouts), "layout_id"
-        )
-    ranges = headers.select(
-        "file_path",
-        *kept,
-        *columns,
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("file_size") - 1) / chunk))).alias("range"),
-    )
-    return records.withColumn("range", F.floor(F.col("block_start") / chunk)).join(
-        ranges.hint("shuffle_hash"), ["file_path", "range"]
-    )
-
-
 def _finished(records: DataFrame, rules: Rules) -> DataFrame:
     is_file = F.col("value").isNull()
     return (
@@ -115,6 +85,7 @@ def _finished(records: DataFrame, rules: Rules) -> DataFrame:
         .withColumn("load_flag", F.when(~is_file, LOAD_FLAG))
         .withColumn("file_verdict", F.when(is_file, F.col("file_verdict")))
         .withColumn("extra_columns", F.when(is_file, F.col("extra_columns")))
+        .withColumn("record_no", F.when(~is_file, F.col("record_no")))
         .select(*ROUTED_COLUMNS)
     )
 
@@ -127,34 +98,34 @@ def routed_rows(
     golden: DataFrame,
     controls: DataFrame,
     rules: Rules,
-    only_listed: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Routed rows of the data files below ``paths`` that satisfy ``keep``.
+    """Routed rows of the data files ``files``, an inventory of exactly the files to load.
 
-    ``files`` is the inventory of exactly the files to load. ``keep`` prunes files from the
-    metadata alone; with ``only_listed`` it may let through more than the inventory has, and the
-    rest is dropped by a join on the path.
+    ``keep`` prunes files from the metadata alone and may let through more than the inventory has;
+    ``probe`` leaves out the rest. What is known of a file (its job, its catalog columns or its layout) is
+    worked out on the inventory and comes with the probe.
 
     Every file adds one record with the verdict ``file``. It carries file_verdict, the reason
-    why the file was rejected or ``ok``, and the columns the catalog does not know.
+    why the file was rejected or ``ok``, and the columns the catalog does not know. Other records have
+    ``record_no``, their number in the file from 0, the header's records counted.
     """
     tables = materialise(golden_by_entity(golden))
-    by_entity = broadcast_if_small(tables, broadcast_bytes)
-    jobs = broadcast_if_small(controls.select("dir", "job_id"), broadcast_bytes)
     keep = keep & (file_kind(scanned_path()) == "data")
+    apart = fits_broadcast(tables, broadcast_bytes)  # one copy of the catalog serves all files
+    described = with_job_id(_described(files, rules), directory(F.col("file_path")), controls.select("dir", "job_id"))
+    known = ["file_path", "file_size", "job_id"]
+    listed = materialise(described.select(*known) if apart else described.join(tables, "entity", "left").select(*known, *(c for c in tables.columns if c != "entity")))
 
     def prepared(df: DataFrame) -> DataFrame:
-        described = with_job_id(_described(df, rules), directory(F.col("file_path")), jobs)
-        return resolve_layout(described.join(by_entity, "entity", "left"))
+        told = _described(df, rules)
+        return resolve_layout(told.join(F.broadcast(tables), "entity", "left") if apart else told)
 
     small = small_files(spark, paths, keep)
     if small is None:
         return spark.createDataFrame([], ROUTED_SCHEMA)
-    if only_listed:
-        listed = files.where(F.col("file_size") <= whole_file_bytes(spark)).select("file_path")
-        small = small.join(broadcast_if_small(listed, broadcast_bytes), "file_path", "left_semi")
-    bodies = prepared(with_header(small)).withColumn(
+    is_small = F.col("file_size") <= whole_file_bytes(spark)
+    bodies = prepared(probe(with_header(small), listed.where(is_small).drop("file_size"), broadcast_bytes)).withColumn(
         "records",
         F.when(
             (F.col("file_verdict") == "ok") & F.col("body").isNotNull(),
@@ -162,15 +133,15 @@ def routed_rows(
         ).otherwise(F.array().cast("array<string>")),
     )
     file_record = F.array(F.lit(None).cast("string"))
-    records = bodies.withColumn("value", F.explode(F.concat(file_record, "records")))
+    records = bodies.select("*", F.posexplode(F.concat(file_record, "records")).alias("at", "value")).withColumn(
+        "record_no", F.col("at").cast("bigint") + (HEADER_RECORDS - 1)
+    )
     routed = _finished(records.drop("body", "records"), rules)
 
-    big = files.where(F.col("file_size") > whole_file_bytes(spark))
+    big = listed.where(~is_small)
     if big.isEmpty():
         return routed
-    heads = large_file_headers(spark, big, paths, keep).join(
-        big.select("file_path", "file_size"), "file_path"
-    )
+    heads = large_file_headers(spark, big, paths, keep).join(big, "file_path")
     signature = F.concat_ws(
         RS,
         entity_of(file_name(F.col("file_path"))),
@@ -179,13 +150,16 @@ def routed_rows(
     )
     headers = materialise(prepared(heads.withColumn("layout_id", F.md5(signature))))
     good = headers.where(F.col("file_verdict") == "ok")
-    split = with_layouts(
-        large_file_records(spark, paths, keep, big).where(~is_header_record()),
-        good,
-        broadcast_bytes,
-        2 * whole_file_bytes(spark),
-    )
-    per_file = headers.withColumn("value", F.lit(None).cast("string"))
+    columns = [*LAYOUT_COLUMNS, *WIDE_COLUMNS]
+    by_file = ["file_path", "job_id", "entity", "source_file", "org_id", "feed_date"]
+    layouts = good.dropDuplicates(["layout_id"]).select("layout_id", *columns)
+    records = probe(large_file_records(spark, paths, keep, big), good.select("file_path"), broadcast_bytes)
+    records = numbered(records, broadcast_bytes).where(F.col("record_no") >= HEADER_RECORDS)
+    if fits_broadcast(layouts, broadcast_bytes):
+        split = probe(records, good.select(*by_file, "layout_id"), broadcast_bytes).join(F.broadcast(layouts), "layout_id")
+    else:
+        split = probe(records, good.select(*by_file, *columns), broadcast_bytes)
+    per_file = headers.select("*", F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("record_no"))
     return routed.unionByName(_finished(split, rules)).unionByName(
         _finished(per_file, rules)
     )

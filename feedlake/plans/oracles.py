@@ -244,5 +244,22 @@ WITH rows_ AS ({_CUSTOMERS}) SELECT key AS cust_key, CAST(NULL AS VARCHAR) AS na
   '0' AS load_flag, 'J1' AS job_id, 'customer_' || org_id AS source_file FROM rows_ WHERE verdict = 'ok'""",
     "ingest_directory": _load("'1', '2', '3', '4'", "199%", "CASE org_id WHEN '3' THEN '' ELSE 'JOB' || org_id END", True),
     "ingest_manifest": _load("'1', '3', '4'", "199%", "''", False),
+    "ingest_large_files": f"""
+WITH loaded AS ({_load("'1', '2', '3', '4'", "199%", "''", True)})
+SELECT org_id, feed_date, count(*) FILTER (verdict = 'ok') AS n_ok, count(*) FILTER (verdict = 'bad_arity') AS n_bad_arity,
+  count(*) FILTER (verdict = 'bad_number') AS n_bad_number, count(*) FILTER (verdict = 'file') AS n_file,
+  count(*) FILTER (verdict <> 'file') AS n_numbers,
+  CASE WHEN count(*) > 1 THEN 4 END AS first_number, CASE WHEN count(*) > 1 THEN count(*) + 2 END AS last_number
+FROM loaded GROUP BY org_id, feed_date""",
+    "requested_runs": f"""
+WITH loaded AS ({_load("'1', '2', '3', '4'", "%", "''", True)}),
+counted AS (SELECT org_id, feed_date, verdict, count(*) AS n_rows FROM loaded WHERE verdict <> 'file' GROUP BY ALL),
+asked AS (
+  SELECT DISTINCT org_id AS facility, feed_date AS from_date FROM loaded
+  UNION ALL SELECT DISTINCT org_id, '199*' FROM loaded WHERE org_id < '3'
+  UNION ALL SELECT * FROM (VALUES ('2208', '1995*'), ('9999', '1996-01-01')))
+SELECT concat_ws('_', 'J', facility, from_date) || '/' || facility || '_' || from_date AS request, org_id, feed_date, verdict, n_rows
+FROM asked JOIN counted ON feed_date LIKE replace(from_date, '*', '%')
+  AND (org_id = facility OR facility IN ('2208', '9999') AND org_id <> '2')""",
     "stream_arrivals": _load("'1', '2', '4'", "%", "'JOB' || org_id", False),
 }

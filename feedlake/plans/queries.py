@@ -6,6 +6,8 @@ SQL that states the expected result.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from feedlake.operators.rows import FILE_RECORD, route
 from feedlake.plans import exports
 from feedlake.plans.ingest import AllowLists, directory_load, manifest_load
 from feedlake.plans.load import Rules
+from feedlake.plans.requests import load_requests
 from feedlake.scale import broadcast_if_small, materialise, shared_dir
 from feedlake.sources import allowlists, catalog, control
 from feedlake.streaming.arrivals import load_arrivals
@@ -633,6 +636,62 @@ def ingest_directory(spark, folder):
     return _load_result(_land(spark, load.rows, load.files))
 
 
+@contextmanager
+def _settings(spark, **settings: str):
+    """Settings below ``spark.sql.files`` for what is planned inside."""
+    before = {k: spark.conf.get(f"spark.sql.files.{k}", None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(f"spark.sql.files.{key}", value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(f"spark.sql.files.{key}")
+            else:
+                spark.conf.set(f"spark.sql.files.{key}", value)
+
+
+def ingest_large_files(spark, folder):
+    """Files of many splits: how many records of each verdict a place has, and which record numbers."""
+    root = shared_dir(spark)
+    feed = _orders_feed(spark, folder, root)
+    with _settings(spark, maxPartitionBytes="32k", openCostInBytes="4k"):
+        load = directory_load(
+            spark, f"{root}/data/*/feed/finished", "199*", _lists(spark), _golden(spark, ORDERS_GOLDEN), Rules(validate=True)
+        )
+        landed = _land(spark, load.rows, load.files)
+    number = F.col("record_no")
+    return landed.groupBy("org_id", "feed_date").agg(
+        *(F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in ("ok", "bad_arity", "bad_number", "file")),
+        F.count_distinct(number).alias("n_numbers"),
+        F.min(number).alias("first_number"),
+        F.max(number).alias("last_number"),
+    )
+
+
+def requested_runs(spark, folder):
+    """What control files ask for, in one load: a request per practice, one for all years and a division's."""
+    root, out = shared_dir(spark), shared_dir(spark)
+    feed = _orders_feed(spark, folder, root)
+    named = feed.where(F.col("org_id") != "2").groupBy("org_id", "feed_date", "part").agg(F.count(F.lit(1)).alias("n"))
+    exports.write_manifest(named, root, "2208", "orders")
+    practice = F.substring("o_orderpriority", 1, 1)
+    orders = table(spark, folder, "orders")
+    own = orders.select(practice.alias("facility"), _cat(F.date_format("o_orderdate", "yyyy"), "-01-01").alias("from_date")).distinct()
+    years = own.select("facility", F.lit("199*").alias("from_date")).distinct().where(F.col("facility") < "3")
+    division = spark.createDataFrame([("2208", "1995*"), ("9999", "1996-01-01")], "facility string, from_date string")
+    asked = own.unionByName(years).unionByName(division).withColumn("job_id", F.concat_ws("_", F.lit("J"), "facility", "from_date"))
+    golden = _golden(spark, ORDERS_GOLDEN)
+    load_requests(spark, asked, f"{root}/data/*/feed/finished", _lists(spark), golden, Rules(validate=True), out)
+    return (
+        spark.read.parquet(f"{out}/rows")
+        .where(F.col("verdict") != FILE_RECORD)
+        .groupBy("request", "org_id", "feed_date", "verdict")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
 def ingest_manifest(spark, folder):
     root = shared_dir(spark)
     feed = _orders_feed(spark, folder, root)
@@ -683,6 +742,6 @@ QUERIES = {
         schema_match, header_map, needs_reorder, numeric_positions,
         reorder_columns, pii_blank, numeric_check, arity_check, audit_columns,
         route_rows, run_audit, text_sink, typed_view,
-        ingest_directory, ingest_manifest, stream_arrivals,
+        ingest_directory, ingest_manifest, ingest_large_files, requested_runs, stream_arrivals,
     )
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedlake.functions.manifest import CONTROL_FIELDS, control_entry
 from feedlake.functions.paths import CONTROL_NAME, directory, file_kind, file_name, scanned_path
 from feedlake.functions.text import RS, control_to_fields
+from feedlake.sources.framed import probe
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
@@ -17,8 +18,13 @@ def first_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("file_path").agg(F.min_by("value", "position").alias("line"))
 
 
-def control_table(spark: SparkSession, paths: Sequence[str], job_field: int = 3) -> DataFrame:
-    """(dir, facility, from_date, to_date, job_id, path), one row per directory."""
+def control_table(
+    spark: SparkSession, paths: Sequence[str], job_field: int = 3, files: DataFrame | None = None
+) -> DataFrame:
+    """(dir, facility, from_date, to_date, job_id, path), one row per directory.
+
+    With ``files``, an inventory, no other file counts.
+    """
     lines = spark.read.option("recursiveFileLookup", "true").text(list(paths)).where(
         F.upper(file_name(scanned_path())) == CONTROL_NAME
     ).select(
@@ -26,6 +32,8 @@ def control_table(spark: SparkSession, paths: Sequence[str], job_field: int = 3)
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("position"),
         "value",
     )
+    if files is not None:
+        lines = probe(lines, files.select("file_path"))
     entry = control_entry(F.col("line"), job_field)
     return (
         first_lines(lines)

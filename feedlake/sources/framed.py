@@ -5,25 +5,28 @@ Two scans cover every file exactly once, by size:
 * files up to half of ``spark.sql.files.maxPartitionBytes`` are read whole, one row per file. The
   header stands in the same row as the data, so nothing has to be joined, and Spark packs many
   small files into a task;
-* larger files are read as records and split as usual. Spark packs splits in descending order
-  of length. The first split of a large file is longer than half a partition, so it cannot share
-  one with an equal or longer split before it: it always comes first, and within it the row number
-  of the partition is the record number of the file.
+* larger files are read as records and split as usual. A first pass counts the records of every
+  block (split) and notes the row its partition has there first; the sum of the blocks before it gives
+  every record its number in the file.
+
+Which files are loaded is settled once, by the inventory: every scan probes a broadcast map of the
+inventoried files, in slices of the inventory when the map is too large for one broadcast. What
+arrives later is in no scan's result, and file contents are never shuffled.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake.functions.paths import directory, entity_of, file_kind, file_name, literal_glob, scanned_path
 from feedlake.functions.text import HEADER_RECORDS, RS
-from feedlake.scale import conf_bytes, literal_values, materialise, shared_dir
-
+from feedlake.scale import BROADCAST_BYTES, conf_bytes, literal_values, materialise, measured_bytes, shared_dir
 
 
 def _meta(name: str) -> Column:
@@ -129,12 +132,10 @@ def places_of(files: DataFrame) -> tuple[list[str], str] | None:
 def large_file_records(
     spark: SparkSession, paths: Sequence[str], keep: Column, files: DataFrame | None = None
 ) -> DataFrame | None:
-    """(file_path, block_start, block_row, value) of the records of large files.
+    """(file_path, block_start, value) of the records of large files.
 
     With ``files`` the scan covers their folders; it may still hold files that are not listed.
     """
-    if spark.conf.get("spark.sql.files.maxPartitionNum", None):
-        raise ValueError("unset spark.sql.files.maxPartitionNum: it packs files after their splits")
     narrowed = places_of(files) if files is not None else None
     if narrowed is not None:
         reader = spark.read.option("recursiveFileLookup", "true")
@@ -147,13 +148,63 @@ def large_file_records(
     return scan.where((_meta("file_size") > whole_file_bytes(spark)) & keep).select(
         scanned_path().alias("file_path"),
         _meta("file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("block_row"),
         "value",
     )
 
 
-def is_header_record() -> Column:
-    return (F.col("block_start") == 0) & (F.col("block_row") < HEADER_RECORDS)
+def _placed(records: DataFrame) -> DataFrame:
+    """Adds the partition and the row in it, as of this frame."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
+    return records.select("file_path", "block_start", F.spark_partition_id().alias("part"), row.alias("part_row"), "value")
+
+
+def block_numbers(records: DataFrame) -> DataFrame:
+    """(file_path, block_start, first_part, first_row, n, before): the records of each block, and those before it.
+
+    One row per block, some tens of bytes for each split. A block is read by one task in a row.
+    """
+    blocks = materialise(
+        records.groupBy("file_path", "block_start").agg(
+            F.min("part").alias("first_part"), F.min("part_row").alias("first_row"), F.count(F.lit(1)).alias("n")
+        )
+    )
+    before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
+def numbered(records: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """(file_path, record_no, value) of all records of some large files, numbered from 0 in each file.
+
+    The records are counted in a pass of their own over the same files in the same splits. A split that
+    is read elsewhere than it was counted fails the load instead of giving wrong numbers.
+    """
+    records = _placed(records)
+    told = probe(records, materialise(block_numbers(records)), limit, also=["block_start"])
+    moved = (F.col("part") != F.col("first_part")) | (F.col("part_row") - F.col("first_row") >= F.col("n"))
+    number = F.when(moved, F.raise_error(F.lit("a file was split anew while it was loaded")).cast("bigint")).otherwise(
+        F.col("before") + F.col("part_row") - F.col("first_row")
+    )
+    return told.select("file_path", number.alias("record_no"), "value")
+
+
+def probe(scan: DataFrame, per_file: DataFrame, limit: int = BROADCAST_BYTES, also: Sequence[str] = ()) -> DataFrame:
+    """The rows of the scan whose file is in ``per_file``, with the columns that it has of the file.
+
+    ``per_file`` has one row per file_path (and per ``also``) and is broadcast under 128 bits of hash in
+    place of the path. If it is larger than ``limit``, the files go in slices by hash: each slice scans
+    its own files alone. The scan itself is never shuffled.
+    """
+    path = F.col("file_path")
+    keys = {"_path1": F.xxhash64(path), "_path2": F.xxhash64(F.lit(1), path)}
+    table = per_file.withColumns(keys).drop("file_path")
+    slices = max(1, -(-measured_bytes(table) // limit))
+    slice_of = F.pmod(F.xxhash64(F.lit(2), path), F.lit(slices))
+    parts = []
+    for k in range(slices):
+        own = per_file.where(slice_of == k).withColumns(keys).drop("file_path") if slices > 1 else table
+        rows = scan.where(slice_of == k) if slices > 1 else scan
+        parts.append(rows.withColumns(keys).join(F.broadcast(own), [*keys, *also]).drop(*keys))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_header(files: DataFrame) -> DataFrame:
@@ -167,17 +218,19 @@ def with_header(files: DataFrame) -> DataFrame:
     )
 
 
-def data_records(spark: SparkSession, paths: Sequence[str], keep: Column) -> DataFrame:
-    """(file_path, value): the records after the header, of files of any size."""
+def data_records(spark: SparkSession, paths: Sequence[str], keep: Column, files: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """(file_path, record_no, value): the records after the header of the inventoried ``files``, of any size."""
     small = small_files(spark, paths, keep)
     if small is None:
-        return spark.createDataFrame([], "file_path string, value string")
-    large = large_file_records(spark, paths, keep)
-    return (
-        with_header(small)
-        .select("file_path", F.explode(F.split("body", RS, -1)).alias("value"))
-        .unionByName(large.where(~is_header_record()).select("file_path", "value"))
-    )
+        return spark.createDataFrame([], "file_path string, record_no bigint, value string")
+    whole = probe(small, files.where(F.col("file_size") <= whole_file_bytes(spark)).select("file_path"), limit)
+    body = F.posexplode(F.split("body", RS, -1)).alias("record_no", "value")
+    records = with_header(whole).select("file_path", body).withColumn("record_no", F.col("record_no").cast("bigint") + HEADER_RECORDS)
+    big = files.where(F.col("file_size") > whole_file_bytes(spark)).select("file_path")
+    if big.isEmpty():
+        return records
+    large = numbered(probe(large_file_records(spark, paths, keep), big, limit), limit)
+    return records.unionByName(large.where(F.col("record_no") >= HEADER_RECORDS))
 
 
 # -- headers of large files ---------------------------------------------------------------------
@@ -198,6 +251,7 @@ def head_reader(separator: bytes = RS.encode(), chunk: int = _CHUNK, limit: int
         import re
         from urllib.parse import quote, unquote
 
+        import pyarrow as pa
         from pyarrow import fs
 
         scheme, rest = re.fullmatch(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)", path).groups()
@@ -216,8 +270,8 @@ def head_reader(separator: bytes = RS.encode(), chunk: int = _CHUNK, limit: int
                     if not block:
                         break
                     head += block
-        except Exception:
-            return None, None
+        except (ValueError, NotImplementedError, pa.ArrowNotImplementedError, FileNotFoundError):
+            return None, None  # a store that only Spark reads; anything else, like a refused permission, is raised
         parts = head.split(separator)
         if len(parts) < 3:
             return None, None
@@ -250,10 +304,10 @@ def large_file_headers(spark: SparkSession, files: DataFrame, paths: Sequence[st
     missing = heads.where(F.col("titles").isNull()).select("file_path")
     if missing.isEmpty():
         return heads
-    records = large_file_records(spark, paths, keep, missing).where(is_header_record())
-    scanned = records.groupBy("file_path").agg(
-        F.max(F.when(F.col("block_row") == 0, F.col("value"))).alias("titles"),
-        F.max(F.when(F.col("block_row") == 1, F.col("value"))).alias("types"),
+    records = numbered(probe(large_file_records(spark, paths, keep, missing), missing))
+    scanned = records.where(F.col("record_no") < 2).groupBy("file_path").agg(
+        F.max(F.when(F.col("record_no") == 0, F.col("value"))).alias("titles"),
+        F.max(F.when(F.col("record_no") == 1, F.col("value"))).alias("types"),
     )
     return heads.where(F.col("titles").isNotNull()).unionByName(
         missing.join(scanned, "file_path", "left")

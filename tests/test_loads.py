@@ -10,6 +10,8 @@ from feedlake.operators import audit, sinks
 from feedlake.plans import load as load_plan
 from feedlake.plans.ingest import directory_load, manifest_load
 from feedlake.plans.load import Rules
+from feedlake.scale import BROADCAST_BYTES
+from feedlake.sources import framed as framed_source
 
 A_TITLES, A_TYPES = ["Patient ID", "Allergy Name", "Allergy Code"], ["NUMBER", "VARCHAR", "NUMBER"]
 P_TITLES, P_TYPES = ["City", "SSN", "Patient ID"], ["VARCHAR", "NUMBER", "NUMBER"]
@@ -105,23 +107,27 @@ def many(landing, n=400):
 
 def snapshot(loaded):
     return sorted(
-        (r["verdict"], r["source_file"], r["file_verdict"] or "", r["line"] or "", r["job_id"])
+        (r["verdict"], r["source_file"], r["file_verdict"] or "", r["line"] or "", r["job_id"], r["record_no"] or 0)
         for r in loaded.rows.collect()
     )
 
 
-@pytest.mark.parametrize("way", ["broadcast", "ranges", "scanned heads"])
-def test_splits_do_not_change_the_result(spark, landing, golden, lists, tiny_splits, monkeypatch, way):
+@pytest.mark.parametrize("way", ["broadcast", "slices", "scanned heads", "part limit"])
+def test_splits_do_not_change_the_result(spark, landing, golden, lists, tiny_splits, monkeypatch, request, way):
     many(landing)
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     whole = snapshot(directory_load(spark, landing.source, "2015-09-01", lists, golden))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "512b")
-    if way == "ranges":
+    if way == "slices":
         monkeypatch.setattr(load_plan, "fits_broadcast", lambda df, limit: False)
+        monkeypatch.setattr(framed_source, "measured_bytes", lambda df: 3 * BROADCAST_BYTES)
     if way == "scanned heads":
         monkeypatch.setattr("feedlake.sources.framed.head_reader", _no_heads)
+    if way == "part limit":  # splits share partitions in another way
+        spark.conf.set("spark.sql.files.maxPartitionNum", "3")
+        request.addfinalizer(lambda: spark.conf.unset("spark.sql.files.maxPartitionNum"))
     split = directory_load(spark, landing.source, "2015-09-01", lists, golden)
-    assert split.rows.rdd.getNumPartitions() > 8
+    assert way == "part limit" or split.rows.rdd.getNumPartitions() > 8
     assert snapshot(split) == whole
     assert len(whole) == sum(n for n in (400, 133, 5)) + 6
 
@@ -378,12 +384,81 @@ def test_wide_tables(spark, landing, lists, columns):
     assert sorted(r["verdict"] for r in narrow.rows.collect()) == ["file", "ok"]
 
 
-def test_part_number_limit_is_refused(spark, landing):
-    from feedlake.sources.framed import large_file_records
+def test_record_numbers_tell_the_place_in_the_file(spark, landing, golden, lists, tiny_splits):
+    rows = [[str(i), "n", "1"] if i % 5 else [str(i)] for i in range(300)]
+    rows[7] = "\n"  # a blank record vanishes and still counts
+    landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, rows)
+    for size in ("64b", "512b", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        found = directory_load(spark, landing.source, "2015-09-01", lists, golden).rows.where("verdict <> 'file'").collect()
+        assert {int(r["line"].split(US)[0]): r["record_no"] for r in found} == {i: i + 4 for i in range(300) if i != 7}
 
-    spark.conf.set("spark.sql.files.maxPartitionNum", "10")
-    try:
-        with pytest.raises(ValueError):
-            large_file_records(spark, [str(landing.root)], F.lit(True))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionNum")
+
+def test_a_file_split_anew_fails_the_load(spark, landing, tiny_splits):
+    from feedlake.sources.framed import _placed, block_numbers, large_file_records
+
+    many(landing)
+    records = large_file_records(spark, [str(landing.root)], F.lit(True))
+    blocks = block_numbers(_placed(records)).collect()
+    by_file = {}
+    for b in sorted(blocks):
+        assert b["before"] == by_file.get(b["file_path"], 0)
+        by_file[b["file_path"]] = b["before"] + b["n"]
+    counts = {r["file_path"]: r["count"] for r in records.groupBy("file_path").count().collect()}
+    assert by_file == counts
+
+
+@pytest.mark.parametrize("ids", [3, 10_001])
+@pytest.mark.parametrize("size", ["small", "large"])
+def test_a_file_that_comes_after_the_inventory_is_not_loaded(spark, landing, golden, lists, monkeypatch, request, ids, size):
+    from dataclasses import replace
+
+    if size == "large":
+        request.getfixturevalue("tiny_splits")
+    rows = [[str(k), "n", "1"] for k in range(60)]
+    names = ["416", "1267", "AB1", *(f"P{k}" for k in range(ids - 3))]
+    lists = replace(lists, practices=spark.createDataFrame([(n,) for n in names], "practice_id string"))
+    for org in ("416", "1267"):
+        landing.entity(org, "2015-09-01", "allergy", A_TITLES, A_TYPES, rows)
+    landing.control("416", "2015-09-01", "J1")
+    from feedlake.plans import ingest
+
+    listed = ingest.inventory
+
+    def then_more(*args):
+        found = listed(*args)
+        landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, rows, stamp="99")
+        landing.entity("AB1", "2015-09-01", "allergy", A_TITLES, A_TYPES, rows)
+        landing.control("AB1", "2015-09-01", "J2")
+        return found
+
+    monkeypatch.setattr(ingest, "inventory", then_more)
+    loaded = directory_load(spark, landing.source, "2015-09-01", lists, golden)
+    want = {("416", "J1", 60), ("1267", "", 60)}
+    assert {tuple(r) for r in loaded.rows.where("verdict = 'ok'").groupBy("org_id", "job_id").count().collect()} == want
+    assert loaded.files.count() == 2
+    landing.manifest("2208", "2015-09-01", [[f"allergy_4.0_{stamp}_{org}.asv", "60", "h", "t"] for stamp, org in (("20150901090417", "1267"), ("77", "416"))])
+
+    def then_named(*args):
+        found = listed(*args)
+        landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, rows, stamp="77")
+        landing.manifest("2209", "2015-09-01", [["allergy_4.0_99_416.asv", "60", "h", "t"]])
+        return found
+
+    monkeypatch.setattr(ingest, "inventory", then_named)
+    loaded = manifest_load(spark, landing.source, "2015-09-01", lists, golden)
+    assert {tuple(r) for r in loaded.rows.where("verdict = 'ok'").groupBy("org_id").count().collect()} == {("1267", 60)}
+    assert [r["file_path"].rpartition("/")[2] for r in loaded.missing_files.collect()] == ["allergy_4.0_77_416.asv"]
+
+
+@pytest.mark.parametrize("size", ["small", "large"])
+def test_contents_are_never_shuffled(spark, landing, golden, lists, monkeypatch, request, size):
+    """Not even with maps that are too large for one broadcast."""
+    if size == "large":
+        request.getfixturevalue("tiny_splits")
+    many(landing, 60)
+    monkeypatch.setattr(load_plan, "fits_broadcast", lambda df, limit: False)
+    monkeypatch.setattr(framed_source, "measured_bytes", lambda df: 2 * BROADCAST_BYTES)
+    plan = directory_load(spark, landing.source, "2015-09-01", lists, golden).rows._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan and "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "Exchange hashpartitioning" not in plan
