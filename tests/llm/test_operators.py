@@ -404,6 +404,28 @@ def test_a_word_too_many_does_not_split_a_license(spark):
     assert row["labels"] == "apache-2" and 0.75 <= row["score"] < 1
 
 
+GNU = "you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation"
+CC = "this work is licensed under a Creative Commons Attribution{} 4.0 International License"
+
+
+def test_related_licenses_get_their_own_label_alone(spark):
+    cases = [(GNU.format(kind), label) for kind, label in (("", "gpl"), ("Lesser ", "lgpl"), ("Library ", "lgpl"), ("Affero ", "agpl"))]
+    cases += [
+        (CC.format(kind), label)
+        for kind, label in (
+            ("", "cc-by"), ("-ShareAlike", "cc-by-sa"), (" Share Alike", "cc-by-sa"), ("-NonCommercial", "cc-by-nc"), (" Non-Commercial", "cc-by-nc"),
+            ("-NoDerivatives", "cc-by-nd"), ("-NonCommercial-ShareAlike", "cc-by-nc-sa"), ("-NonCommercial-NoDerivatives", "cc-by-nc-nd"),
+        )
+    ]
+    cases += [("licensed under GNU General Public License version 3", "gpl"), ("licensed under the GNU Lesser General Public License, version 2.1", "lgpl")]
+    cases += [(f"{GNU.format('')} {CC.format('-NonCommercial')}", "cc-by-nc,gpl")]
+    cases += [(t.replace(word, "", 1), label) for t, label in cases[:9] for word in ("under ", "license " if "License " in t else "the ", "licensed ") if word in t]
+    cases += [("a general public license to share creative works", ""), ("commercial attribution 4 0 international license", "")]
+    rows = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_report(rows).collect()}
+    assert {cases[k][0]: label for k, label in got.items()} == dict(cases)
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
