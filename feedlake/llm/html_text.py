@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page becomes a small tree of elements; scripts, styles, forms, and elements that tags, roles or
-class names mark as navigation, adverts, notices or comments are left out. Every node gets its
+class names mark as navigation, adverts, notices or comments are left out. A mark that would take nearly
+all text of the page is no use as one and is lifted, so that a form around the page or a telling name on
+the article's own element does not lose it. Every node gets its
 characters per tag, adjusted for links: link text and link tags lower it, more so on pages whose
 text is mostly links. A node's sum of its children's densities says how much dense text it holds
 together; the subtree with the largest sum is the article, and of the rest of the body those
@@ -39,6 +41,10 @@ MARKS = frozenset(
     "social pagination pager form search hidden".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Marked by these, an element never holds the article, whatever its text.
+NEVER = frozenset("head title script style noscript template iframe object svg math canvas audio video nav footer aside button select option textarea input menu dialog".split())
+#: A mark is lifted if the text outside all marks is less than this part of the text under it.
+OUTSIDE = 0.25
 #: Share of the path's least density that a subtree beside the path needs.
 SLACK = 0.2
 P_ENDERS = BLOCKS - {"html", "body", "td", "th", "caption"}
@@ -52,10 +58,10 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
+    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?+)*?)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 BLANKS = re.compile(r"\s+")
 
@@ -95,7 +101,7 @@ def parse(page: str) -> Node:
     stack, at, n = [root], 0, len(page)
 
     def text(value: str) -> None:
-        if value and not stack[-1].dropped:
+        if value:
             stack[-1].parts.append(html.unescape(value))
 
     def close(down_to: int) -> None:
@@ -137,7 +143,7 @@ def parse(page: str) -> Node:
                     close(k)
                     if tag != "tr":
                         break
-        node = Node(tag, stack[-1].dropped or _marked(tag, found[3]))
+        node = Node(tag, _marked(tag, found[3]))
         stack[-1].parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -149,6 +155,36 @@ def parse(page: str) -> Node:
     return root
 
 
+def _lift_marks(root: Node) -> None:
+    """Take the mark from the largest marked subtree as long as there is hardly any text outside of marks.
+
+    A page with an ``article`` or ``main`` outside of them keeps its marks.
+    """
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag not in NEVER:
+            order.append(node)
+            todo += [c for c in node.parts if isinstance(c, Node)]
+    if not any(n.dropped for n in order):
+        return
+    size: dict[int, int] = {}
+    for node in reversed(order):
+        size[id(node)] = sum(size.get(id(p), 0) if isinstance(p, Node) else len(p) - sum(map(len, BLANKS.findall(p))) for p in node.parts)
+    while True:
+        marked, todo = [], [root]
+        while todo:
+            for c in todo.pop().parts:
+                if isinstance(c, Node) and id(c) in size:
+                    if not c.dropped and c.tag in ("article", "main") and size[id(c)]:
+                        return
+                    (marked if c.dropped else todo).append(c)
+        largest = max(marked, key=lambda n: size[id(n)], default=None)
+        if largest is None or size[id(root)] - sum(size[id(n)] for n in marked) >= OUTSIDE * size[id(largest)]:
+            return
+        largest.dropped = False
+
+
 def _measure(root: Node) -> None:
     """Counts and densities of all nodes, children before parents."""
     order, todo = [], [(root, False)]
@@ -223,6 +259,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _lift_marks(root)
     _measure(root)
     blocks, current = [], []
 

@@ -436,6 +436,11 @@ def test_related_licenses_get_their_own_label_alone(spark):
         ("<body><nav><a href=x>Home</a></nav><article><h1>T</h1><p>One <b>two<br>three<p>four</article><footer>f</footer>", "T\n\nOne two three\n\nfour"),
         ("<div class='side-bar sidebar'><p>no</p></div><main><p>yes</p><div id=comments>c</div></main><script>var a='</p>'</script>", "yes"),
         ("<div>" * 2000 + "deep", "deep"),
+        ("<form id=aspnetForm><div class=menu><a href=x>Home</a></div><div><p>The article is long enough.<p>And goes on.</div></form>", "The article is long enough.\n\nAnd goes on."),
+        ("<div class=comment-policy-article><p>All of the text stands here.</div><div class=footer>f</div>", "All of the text stands here."),
+        ("<div class='main-content related-layout'><p>All of the text stands here.</div><nav>n</nav>", "All of the text stands here."),
+        ("<p title=don't>It is kept.</p><p>It's all.</p>", "It is kept.\n\nIt's all."),
+        ("<article><p>A short article of some words.</article><div class=comments><p>A comment of a reader, longer than it.</div>", "A short article of some words."),
     ],
 )
 def test_html(page, text):
