@@ -258,7 +258,7 @@ def _finder(tables, only_clean: bool):
     def found(data, bounds):
         """Original places of the compared bytes, and the matches of each index."""
         if not built:
-            built.append(indexes(*tables.value))
+            built.append(indexes(*tables.value[:2]))
         body, limits, place = plain(data, bounds)
         return place, [(index, *matches(index, body, limits)) for index in built[0]]
 
@@ -281,7 +281,7 @@ def _finder(tables, only_clean: bool):
             table = pa.table(
                 {
                     "row": pa.array(text),
-                    "item_id": pa.array([x[0].item[k] for x in some for k in x[2]], pa.int64()),
+                    "item_id": pa.array([x[0].item[k] for x in some for k in x[2]], tables.value[2]),
                     "start": pa.array(start, pa.int64()),
                     "end": pa.array(stop, pa.int64()),
                     "edits": pa.array(edits, pa.int64()),
@@ -299,12 +299,12 @@ def _finder(tables, only_clean: bool):
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
     """The items as broadcast tables of a checked size; a larger benchmark goes in several blocks."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    items = benchmark.select(F.col(item_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     items = items.select("text", "id").distinct()
     count = max(1, math.ceil(measured_bytes(items) / BLOCK_BYTES))
     for k in range(count):
         block = items.where(F.pmod(F.xxhash64("text"), F.lit(count)) == k).orderBy("id", "text").toArrow()
-        yield benchmark.sparkSession.sparkContext.broadcast((block["id"].to_pylist(), block["text"].to_pylist()))
+        yield benchmark.sparkSession.sparkContext.broadcast((block["id"].to_pylist(), block["text"].to_pylist(), block["id"].type))
 
 
 def contaminated(
@@ -327,7 +327,7 @@ def contaminated(
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, start long, end long, edits long, n_places long"
+    schema = f"doc_id {kind}, item_id {benchmark.schema[item_col].dataType.simpleString()}, start long, end long, edits long, n_places long"
     parts = [docs.mapInArrow(_finder(t, False), schema) for t in _blocks(benchmark, item_col, item_text_col)]
     out = parts[0]
     for part in parts[1:]:

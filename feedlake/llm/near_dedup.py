@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from feedlake.llm import bytesnp
 from feedlake.llm.common import small
@@ -160,7 +161,7 @@ def labelled(docs: DataFrame, words: int, percent: int, slots: int = SLOTS, rows
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = pa.schema(
         [
-            ("doc_id", pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()),
+            ("doc_id", to_arrow_type(docs.schema["doc_id"].dataType)),
             *((c, pa.int64()) for c in keys),
             ("n_shingles", pa.int64()),
             ("node", pa.binary()),

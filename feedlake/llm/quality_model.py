@@ -138,7 +138,7 @@ def quality_scores(
     the id column, named ``doc_id`` here) is false, at most ``sample_rows`` of them, drawn by a hash
     of the id. A null or empty text has no features: its score is that of the constant alone. Null
     labels, null ids and labels other than 0 and 1 are not learnt from; an id labelled twice counts
-    with its larger label. Without any label every score is 0.5. Repeated rows get a row each.
+    with its larger label, an id of several texts with the one whose hash is least. Without any label every score is 0.5. Repeated rows get a row each.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
@@ -149,7 +149,8 @@ def quality_scores(
     marks = marks.where(~F.coalesce(held_out, F.lit(False))).groupBy("doc_id").agg(F.max("label").alias("label"))
     # the sample is bounded, so both its ids and its features may be brought together
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = docs.join(small(marks), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "text")
+    least = F.min(F.struct(F.xxhash64("text"), "text"))["text"]
+    sample = docs.join(small(marks), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), least.alias("text"))
     bags = sample.mapInArrow(
         _bags("text", ["doc_id", "label"]),
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, feature array<int>, share array<float>",
