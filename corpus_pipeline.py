@@ -6,6 +6,8 @@ returns packed pieces.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +31,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null id counts as the largest; among rows of one id and different texts a hash decides. Rows
     are told apart by id and text together, and rows equal in both are reduced to one, the least by
-    all columns; so are wordless texts, which are near-duplicates of nothing.
+    its columns as JSON; so are wordless texts, which are near-duplicates of nothing.
+    Other columns are passed on, whatever their names and types.
     """
-    key = ["t1", "t2"]  # 128 bits of id and text
-    keyed = docs.withColumns({"t1": F.xxhash64("doc_id", "text"), "t2": F.xxhash64("text", F.lit(1), "doc_id")})
+    taken = {c.lower() for c in docs.columns}
+    free = (name for name in map("key{}".format, count()) if name not in taken)
+    key = t1, t2 = next(free), next(free)  # 128 bits of id and text
+    keyed = docs.withColumns({t1: F.xxhash64("doc_id", "text"), t2: F.xxhash64("text", F.lit(1), "doc_id")})
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = materialise(
-        labelled(keyed.select("doc_id", "text", *key), 5, 80, keys=("t1", "t2"))
+        labelled(keyed.select("doc_id", "text", *key), 5, 80, keys=key)
         .groupBy(*key)
         .agg(F.min("doc_id").alias("doc_id"), F.min("component").alias("component"), F.count("*").alias("times"))
     )
@@ -43,15 +49,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = small(materialise(groups.where("n > 1").select("component", "stays")))
     found = materialise(
         rows.join(groups, "component", "left")
-        .select(*key, "times", ((F.col("t1") != F.col("stays.t1")) | (F.col("t2") != F.col("stays.t2"))).alias("gone"))
+        .select(*key, "times", ((F.col(t1) != F.col(f"stays.{t1}")) | (F.col(t2) != F.col(f"stays.{t2}"))).alias("gone"))
         .select(*key, "times", F.coalesce("gone", F.lit(False)).alias("gone"))
         .where("gone or times > 1")
     )
-    rest = keyed.join(small(found.select(*key)), key, "left_anti").select(*docs.columns)
+    rest = keyed.join(small(found.select(*key)), [*key], "left_anti").select(*columns)
     repeated = found.where("not gone").select(*key)
     if not repeated.isEmpty():
-        one = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")
-        once = keyed.join(small(repeated), key, "left_semi").groupBy(*key).agg(one)
+        row = F.struct(*columns)
+        one = F.min_by(row, F.to_json(row)).alias("row")
+        once = keyed.join(small(repeated), [*key], "left_semi").groupBy(*key).agg(one)
         rest = rest.unionByName(once.select(*(F.col(f"row.`{c}`") for c in docs.columns)))
     return rest
 
