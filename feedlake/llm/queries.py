@@ -15,7 +15,7 @@ from feedlake.llm.near_dedup import near_duplicates
 from feedlake.llm.packing import pack
 from feedlake.llm.ppm import model_scores
 from feedlake.llm.quality_model import quality_scores
-from feedlake.llm.quality_rules import rule_report
+from feedlake.llm.quality_rules import STOP_WORDS, rule_report
 from feedlake.llm.repeats import remove_repeats
 from feedlake.llm.secrets import secret_report
 from feedlake.llm.token_alignment import align_tokens
@@ -108,8 +108,28 @@ QUERIES = {
     )
 }
 
+_STOP = ", ".join(f"'{v}'" for w in STOP_WORDS for v in (w, w.capitalize(), w.upper()))
+
 #: Expected results in DuckDB SQL, where it can express them.
 ORACLES = {
+    "op1_quality_rules": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM d WHERE len(words) > 2),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) > 1),
+repeated AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+m AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(words, lambda x: x IN ({_STOP}))) AS n_stop_words
+  FROM d LEFT JOIN repeated USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND word_chars / n_words BETWEEN 2 AND 12 AND n_symbols / n_words <= 0.1
+  AND n_stop_words / n_words >= 0.04 AND n_dup_lines / greatest(n_lines, 1) <= 0.4 AS kept
+FROM f""",
     "op11_hard_negatives": """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
