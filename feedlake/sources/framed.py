@@ -251,7 +251,6 @@ def head_reader(separator: bytes = RS.encode(), chunk: int = _CHUNK, limit: int
         import re
         from urllib.parse import quote, unquote
 
-        import pyarrow as pa
         from pyarrow import fs
 
         scheme, rest = re.fullmatch(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)", path).groups()
@@ -270,8 +269,10 @@ def head_reader(separator: bytes = RS.encode(), chunk: int = _CHUNK, limit: int
                     if not block:
                         break
                     head += block
-        except (ValueError, NotImplementedError, pa.ArrowNotImplementedError, FileNotFoundError):
-            return None, None  # a store that only Spark reads; anything else, like a refused permission, is raised
+        except PermissionError:
+            raise
+        except (OSError, ValueError, NotImplementedError):  # a store, or credentials, that only Spark has
+            return None, None
         parts = head.split(separator)
         if len(parts) < 3:
             return None, None
