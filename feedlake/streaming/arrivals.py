@@ -14,7 +14,7 @@ from feedlake.plans.load import Rules
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _any_case(name: str) -> str:
+def any_case(name: str) -> str:
     """Glob for a name in upper, lower or mixed case."""
     return "".join(f"[{c.upper()}{c.lower()}]" if c.isalpha() else c for c in name)
 
@@ -30,7 +30,7 @@ def arrivals(spark: SparkSession, glob: str, max_controls: int = 1000) -> DataFr
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", _any_case(CONTROL_NAME))
+        .option("pathGlobFilter", any_case(CONTROL_NAME))
         .option("maxFileAge", "36500d")
         .option("maxFilesPerTrigger", max_controls)
         .load(glob)
