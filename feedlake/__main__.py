@@ -6,13 +6,15 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.plans.ingest import AllowLists
+from feedlake.plans.ingest import AllowLists, landing_path
 from feedlake.plans.job import LOADS, Outputs, RunContext, run
 from feedlake.plans.load import Rules
 from feedlake.plans.requests import load_requests, requests_of
 from feedlake.sources import allowlists
 from feedlake.sources.catalog import golden_schema, jdbc_options, warehouse_query
+from feedlake.streaming.gate import poll_directories, poll_manifests
 
+POLLS = {"arrivals": poll_directories, "named": poll_manifests}
 CATALOG_QUERY = "SELECT databasename, tablename, columntitle, columnid, commentstring FROM {}"
 
 
@@ -25,7 +27,12 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("practice_list")
     p.add_argument("entity_list")
     p.add_argument("division_list")
-    p.add_argument("load", choices=[*sorted(LOADS), "requested"], help="requested: what the control files below input_path ask for")
+    p.add_argument(
+        "load",
+        choices=[*sorted(LOADS), "requested", *POLLS],
+        help="requested: what the control files below input_path ask for; arrivals, named: directories, or files named by "
+        "manifests, that are complete and not loaded yet",
+    )
     p.add_argument("mode", choices=["standard", "validate"], nargs="?", default="standard")
     p.add_argument("--catalog", required=True, help="catalog table name, or parquet path")
     p.add_argument("--database", help="keep catalog columns of this database")
@@ -65,6 +72,11 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{shown.count()} requests and entities")
         shown.show(1000, truncate=False)
         return
+    if args.load in POLLS:
+        path = landing_path(args.input_path, args.date)
+        runs = POLLS[args.load](spark, path, lists, catalog(spark, args), args.out_path.rstrip("/"), rules)
+        print(f"{len(runs)} loads")
+        return
     outcome = run(
         spark,
         args.load,

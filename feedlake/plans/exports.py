@@ -78,7 +78,7 @@ def entity_name(entity: str) -> str:
     return entity + "_4.0_{stamp}_{org}.asv"
 
 
-def write_controls(places: DataFrame, root: str, job_id: Column) -> None:
+def write_controls(places: DataFrame, root: str, job_id: Column, name: str = CONTROL_NAME) -> None:
     """One control file for every (org_id, feed_date)."""
     lines = places.select(
         "org_id",
@@ -88,7 +88,7 @@ def write_controls(places: DataFrame, root: str, job_id: Column) -> None:
             "~", "org_id", "feed_date", "feed_date", job_id, F.concat(F.lit("/data/"), "org_id")
         ).alias("value"),
     )
-    write_feed(lines, root, CONTROL_NAME)
+    write_feed(lines, root, name)
 
 
 def write_manifest(places: DataFrame, root: str, division: str, entity: str) -> None:

@@ -76,6 +76,10 @@ SELECT DISTINCT 'file', 'orders', org_id, feed_date,
 FROM files"""
 
 
+_COUNTED = """SELECT org_id, feed_date, count(*) FILTER (verdict = 'ok') AS n_ok, count(*) FILTER (verdict = 'bad_arity') AS n_bad_arity,
+  count(*) FILTER (verdict = 'file') AS n_file, 1 AS n_loads FROM loaded"""
+_ZEROS = ", ".join(f"coalesce({c}, 0) AS {c}" for c in ("n_ok", "n_bad_arity", "n_file", "n_loads"))
+
 ORACLES = {
     "frame_records": f"""
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS rec_no, value FROM (
@@ -261,5 +265,16 @@ asked AS (
 SELECT concat_ws('_', 'J', facility, from_date) || '/' || facility || '_' || from_date AS request, org_id, feed_date, verdict, n_rows
 FROM asked JOIN counted ON feed_date LIKE replace(from_date, '*', '%')
   AND (org_id = facility OR facility IN ('2208', '9999') AND org_id <> '2')""",
+    "poll_arrivals": f"""
+WITH loaded AS ({_load("'1', '2', '3', '4'", "%", "''", False)}),
+counted AS ({_COUNTED} WHERE org_id <> '3' OR feed_date < '1995' GROUP BY org_id, feed_date),
+late AS (SELECT DISTINCT org_id, feed_date, 1 AS n FROM loaded WHERE org_id = '3')
+SELECT org_id, feed_date, {_ZEROS}, coalesce(n, 0) AS n_late FROM counted FULL JOIN late USING (org_id, feed_date)""",
+    "stream_manifest": f"""
+WITH loaded AS ({_load("'1', '3'", "%", "''", False)}),
+counted AS ({_COUNTED} GROUP BY org_id, feed_date),
+years AS (SELECT DISTINCT strftime(o_orderdate, '%Y') || '-01-01' AS feed_date, unnest(['1', '3']) AS org_id FROM orders)
+SELECT org_id, feed_date, {_ZEROS}, CASE WHEN feed_date < '1995' AND n_loads = 1 THEN 1 ELSE 2 END AS n_missing
+FROM years LEFT JOIN counted USING (org_id, feed_date)""",
     "stream_arrivals": _load("'1', '2', '4'", "%", "'JOB' || org_id", False),
 }

@@ -7,6 +7,7 @@ SQL that states the expected result.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from feedlake.plans.load import Rules
 from feedlake.plans.requests import load_requests
 from feedlake.scale import broadcast_if_small, materialise, shared_dir
 from feedlake.sources import allowlists, catalog, control
+from feedlake.streaming import gate
 from feedlake.streaming.arrivals import load_arrivals
 
 
@@ -575,8 +577,8 @@ ORDERS_GOLDEN = {"orders": ["order_key", "price", "clerk_name!", "priority", "st
 PRACTICES = ["1", "2", "3", "4"]  # orders of priority 5 come from a practice that is not allowed
 
 
-def _orders_feed(spark, folder, root: str) -> DataFrame:
-    """Write orders as feed files: a practice per priority, a date per year."""
+def _orders_feed(spark, folder, root: str, keep: Column | None = None) -> DataFrame:
+    """Write orders as feed files: a practice per priority, a date per year. ``keep`` chooses among those."""
     status, price = F.col("o_orderstatus"), _s("price")
     columns = [_s("o_orderkey"), F.col("o_orderstatus"), _cat("Clerk ", _s("o_custkey"))]
     line = (
@@ -593,6 +595,7 @@ def _orders_feed(spark, folder, root: str) -> DataFrame:
             F.col("o_orderkey").alias("key"),
             line.alias("value"),
         )
+        .where(F.lit(True) if keep is None else keep)
     )
     titles = F.when(F.col("org_id") == "4", US.join([*_TITLES[:3], "Prize", "Priority"])).otherwise(US.join(_TITLES))
     types = F.lit(US.join(_TYPES))
@@ -714,6 +717,56 @@ def stream_arrivals(spark, folder):
     return _load_result(spark.read.option("basePath", out).parquet(f"{out}/batch=*"))
 
 
+def _polled(spark, out: str, state: str) -> DataFrame:
+    """Per place what the loads of its polls landed, and how often it was noted in the ledger."""
+    n = {v: F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in ("ok", "bad_arity", "file")}
+    rows_ = gate.landed(spark, out).groupBy("org_id", "feed_date").agg(*n.values(), F.count_distinct("run").alias("n_loads"))
+    layout, subject = Rules().layout, F.concat(F.col("subject"), F.lit("/"))
+    noted = gate.ledger_of(spark, out).events().where((F.col("about") == "note") & (F.col("state") == state))
+    notes = noted.groupBy(layout.org_id(subject).alias("org_id"), layout.feed_date(subject).alias("feed_date")).agg(F.count(F.lit(1)).alias(f"n_{state}"))
+    numbers = ["n_ok", "n_bad_arity", "n_file", "n_loads", f"n_{state}"]
+    return rows_.join(notes, ["org_id", "feed_date"], "full").select(
+        "org_id", "feed_date", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers)
+    )
+
+
+def poll_arrivals(spark, folder):
+    """Three polls of directories: early years, all years with controls in lower case for a practice that was late, nothing."""
+    root, out = shared_dir(spark), shared_dir(spark)
+    early = F.col("feed_date") < "1995"
+    golden, source = _golden(spark, ORDERS_GOLDEN), f"{root}/data/*/feed/finished/*"
+    for part in (early, ~early, None):
+        if part is not None:
+            feed = _orders_feed(spark, folder, root, part)
+            places = feed.select("org_id", "feed_date").distinct()
+            exports.write_controls(places.where(F.col("org_id") != "3"), root, _cat("JOB", F.col("org_id")))
+        if part is early:
+            first = materialise(places.where(F.col("org_id") == "3"))
+        elif part is not None and not first.isEmpty():
+            exports.write_controls(first, root, F.lit("JOB3"), "control.txt")
+        gate.poll_directories(spark, source, _lists(spark), golden, out, now=datetime.now(timezone.utc) + timedelta(days=1))
+    return _polled(spark, out, "late")
+
+
+def stream_manifest(spark, folder):
+    """Two polls of what manifests name: early years and what is missing then, and the rest when it has come."""
+    root, out = shared_dir(spark), shared_dir(spark)
+    early = F.col("feed_date") < "1995"
+    golden, source = _golden(spark, ORDERS_GOLDEN), f"{root}/data/*/feed/finished/*"
+    feed = _orders_feed(spark, folder, root, early)
+    for part in (early, ~early):
+        if part is not early:
+            feed = feed.unionByName(_orders_feed(spark, folder, root, part))
+        else:
+            years = table(spark, folder, "orders").select(_cat(F.date_format("o_orderdate", "yyyy"), "-01-01").alias("feed_date")).distinct()
+            practices = F.explode(F.array(F.lit("1"), F.lit("3"), F.lit("5"))).alias("org_id")
+            named = years.select("*", practices, F.lit(1).alias("n")).withColumn("part", F.explode(F.array(F.lit(0), F.lit(999_999))))
+            exports.write_manifest(named, root, "2208", "orders")
+            exports.write_controls(years.withColumn("org_id", F.lit("2208")), root, F.lit("D"))
+        gate.poll_manifests(spark, source, _lists(spark), golden, out, now=datetime.now(timezone.utc) + timedelta(days=1))
+    return _polled(spark, out, "missing")
+
+
 def text_sink(spark, folder):
     out = shared_dir(spark)
     routed = routed_customers(spark, folder).select(
@@ -743,5 +796,6 @@ QUERIES = {
         reorder_columns, pii_blank, numeric_check, arity_check, audit_columns,
         route_rows, run_audit, text_sink, typed_view,
         ingest_directory, ingest_manifest, ingest_large_files, requested_runs, stream_arrivals,
+        poll_arrivals, stream_manifest,
     )
 }
