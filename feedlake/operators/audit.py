@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.functions.paths import entity_of, file_name
 from feedlake.operators.rows import FILE_RECORD
 
 
@@ -13,20 +14,31 @@ def counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("entity", "verdict").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def outcome(rows: DataFrame, *by: str) -> DataFrame:
-    """(entity, n_ok, n_rejected, n_rejected_files, state) per entity, or per other columns."""
-    is_file = F.col("verdict") == FILE_RECORD
-    bad_file = is_file & (F.col("file_verdict") != "ok")
-    bad_row = ~is_file & (F.col("verdict") != "ok")
-    return (
-        rows.groupBy(*(by or ["entity"]))
-        .agg(
-            F.count_if(F.col("verdict") == "ok").alias("n_ok"),
-            F.count_if(bad_row).alias("n_rejected"),
-            F.count_if(bad_file).alias("n_rejected_files"),
-        )
-        .withColumn(
-            "state",
-            F.when((F.col("n_rejected") > 0) | (F.col("n_rejected_files") > 0), "errors").otherwise("ok"),
-        )
-    )
+MISSING, BAD_NAME = "missing_file", "bad_manifest_row"
+
+
+def unloadable(missing_files: DataFrame, manifest_rejects: DataFrame) -> DataFrame:
+    """(entity, verdict): a record for every file that is missing and every manifest record that names none."""
+    entity = F.lower(entity_of(file_name(F.col("file_path"))))
+    named = missing_files.select(entity.alias("entity"), F.lit(MISSING).alias("verdict"))
+    return named.unionByName(manifest_rejects.select(F.lower("entity").alias("entity"), F.lit(BAD_NAME).alias("verdict")))
+
+
+def outcome(rows: DataFrame, *by: str, others: DataFrame | None = None) -> DataFrame:
+    """(entity, n_ok, n_rejected, n_rejected_files, n_missing_files, n_bad_manifest_rows, state) per entity, or
+    per other columns; ``others`` are the records of ``unloadable``."""
+    by = by or ("entity",)
+    seen = rows.select(*by, "verdict", "file_verdict")
+    if others is not None:
+        seen = seen.unionByName(others.withColumn("file_verdict", F.lit(None).cast("string")))
+    verdict = F.col("verdict")
+    numbers = {
+        "n_ok": verdict == "ok",
+        "n_rejected": ~verdict.isin("ok", FILE_RECORD, MISSING, BAD_NAME),
+        "n_rejected_files": (verdict == FILE_RECORD) & (F.col("file_verdict") != "ok"),
+        "n_missing_files": verdict == MISSING,
+        "n_bad_manifest_rows": verdict == BAD_NAME,
+    }
+    clean = sum((F.col(n) for n in list(numbers)[1:]), F.lit(0)) == 0
+    counted = seen.groupBy(*by).agg(*(F.count_if(c).alias(n) for n, c in numbers.items()))
+    return counted.withColumn("state", F.when(clean, "ok").otherwise("errors"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from feedlake.functions.text import US, split_fields
 from feedlake.operators.rows import FILE_RECORD
 
 SMALL_FILE_BYTES = 16 << 20
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def wants_compaction(files: DataFrame) -> bool:
@@ -81,6 +84,31 @@ def load_warehouse(df: DataFrame, table: str, jdbc: dict[str, str] | None = None
         df.write.format("jdbc").options(**jdbc).option("dbtable", table).mode("append").save()
 
 
+def load_warehouse_once(df: DataFrame, table: str, key: str, run_id: str, loaded_at: datetime, path: str | None = None) -> None:
+    """Put the rows of one load into a table of Spark's own catalog in place of those of its last run.
+
+    The table has a partition per load key; run_id and load_ts tell where a row comes from. Spark stages the
+    new partition and moves it into place when the job commits, so a repeat doubles nothing. ``path`` makes a
+    new table external.
+    """
+    spark = df.sparkSession
+    rows = df.withColumns({"run_id": F.lit(run_id), "load_ts": F.lit(loaded_at).cast("timestamp"), "load_key": F.lit(key)})
+    if not spark.catalog.tableExists(table):
+        empty = rows.limit(0).write.partitionBy("load_key")
+        (empty.option("path", path) if path else empty).saveAsTable(table)
+    if df.isEmpty():
+        literal = key.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_key = '{literal}')")
+        return
+    columns = spark.table(table).columns
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        rows.select(*columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+
+
 def append_status(
     spark: SparkSession, path: str, job_id: str, facility: str, source: str, stage: str, state: str, message: str
 ) -> None:

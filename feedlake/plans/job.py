@@ -5,28 +5,38 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.paths import literal_glob
 from feedlake.operators import audit, sinks
 from feedlake.operators.filters import facility_route
+from feedlake.operators.ledger import Ledger
 from feedlake.plans.ingest import AllowLists, Load, directory_load, manifest_load, placed
-from feedlake.plans.load import Rules
+from feedlake.plans.load import ROUTED_SCHEMA, Rules
 
 LOADS = {"divisional": manifest_load, "path": directory_load}
 
 
 @dataclass(frozen=True)
 class Outputs:
-    """Output folders below one root. ``text`` also writes the rows as separated lines."""
+    """Output folders below one root, each with a folder per ``run`` if that is given.
+
+    ``text`` also writes the rows as separated lines.
+    """
 
     root: str
     text: bool = False
+    run: str = ""
+
+    def at(self, part: str) -> str:
+        return f"{self.root}/{part}/run={self.run}" if self.run else f"{self.root}/{part}"
 
     @property
     def rows(self) -> str:
-        return f"{self.root}/rows"
+        return self.at("rows")
 
     @property
     def audit(self) -> str:
@@ -53,16 +63,16 @@ def write_load(
     sinks.write_rows(load.rows, out.rows, "parquet", sinks.wants_compaction(load.files))
     landed = spark.read.schema(load.rows.schema).parquet(out.rows)
     if out.text:
-        sinks.write_rows(landed, f"{out.root}/text", "text")
-    errors = f"{out.root}/error"
-    sinks.rejected_files(landed, run_id).write.mode("overwrite").parquet(f"{errors}/files")
+        sinks.write_rows(landed, out.at("text"), "text")
+    sinks.rejected_files(landed, run_id).write.mode("overwrite").parquet(out.at("error/files"))
     if load.manifest_rows is not None:
-        load.manifest_rejects.write.mode("overwrite").parquet(f"{errors}/manifest_rows")
-        load.missing_files.write.mode("overwrite").parquet(f"{errors}/missing_files")
+        load.manifest_rejects.write.mode("overwrite").parquet(out.at("error/manifest_rows"))
+        load.missing_files.write.mode("overwrite").parquet(out.at("error/missing_files"))
         if requested == "*":
-            sinks.write_text(load.manifest_rows, f"{out.root}/manifest")
-            sinks.write_text(load.control_rows, f"{out.root}/control")
-    audit.outcome(landed).write.mode("overwrite").parquet(f"{out.audit}/outcome")
+            sinks.write_text(load.manifest_rows, out.at("manifest"))
+            sinks.write_text(load.control_rows, out.at("control"))
+    others = None if load.manifest_rows is None else audit.unloadable(load.missing_files, load.manifest_rejects)
+    audit.outcome(landed, others=others).write.mode("overwrite").parquet(out.at("audit/outcome"))
     return landed
 
 
@@ -94,18 +104,95 @@ def run(
     except Exception as e:
         sinks.append_status(spark, status, *who, "load", "failed", str(e))
         raise
-    outcome = spark.read.parquet(f"{out.audit}/outcome")
-    clean = outcome.where("state != 'ok'").isEmpty()
-    if load.manifest_rows is not None:  # files that are missing or that a bad manifest row names
-        errors = [spark.read.parquet(f"{out.root}/error/{part}") for part in ("manifest_rows", "missing_files")]
-        clean = clean and all(e.isEmpty() for e in errors)
-    state = "completed" if clean else "completed with errors"
+    outcome = spark.read.parquet(out.at("audit/outcome"))
+    state = "completed" if outcome.where("state != 'ok'").isEmpty() else "completed with errors"
     message = f"{run_id}: {time.monotonic() - started:.1f} s"
     sinks.append_status(spark, status, *who, "load", state, message)
     sinks.append_work(spark, f"{out.audit}/work_queue", *who, "loaded")
     return outcome
 
 
+LOADS_DONE = "load string, run string, at timestamp"
+STATUS = "job_id string, facility string, source string, stage string, state string, message string, at timestamp"
+
+
+def publications(spark: SparkSession, root: str) -> Ledger:
+    """Which run stands for a load: the same kind, input, date, entity and rules."""
+    return Ledger(spark, f"{root}/published", ("load",), LOADS_DONE)
+
+
+def status_log(spark: SparkSession, root: str) -> Ledger:
+    """Steps of runs; the latest event of a stage is its state."""
+    return Ledger(spark, f"{root}/status", ("job_id", "facility", "source", "stage"), STATUS)
+
+
+def run_published(
+    spark: SparkSession,
+    kind: str,
+    input_path: str,
+    date: str,
+    lists: AllowLists,
+    golden: DataFrame,
+    root: str,
+    rules: Rules = Rules(),
+    context: RunContext = RunContext(),
+    text: bool = False,
+    warehouse: str | None = None,
+) -> DataFrame:
+    """Like ``run``, but all outputs of a load appear at once and take the place of those of its last run.
+
+    They are written into folders of their own, ``run=…``, which nobody reads before the commit that names it; a run
+    that stops halfway leaves what was published before. With ``warehouse``, a prefix of table names, the
+    accepted rows of every entity go into its table, once per load however often that is repeated.
+    """
+    run_id = f"r{uuid.uuid4().hex}"
+    key = "|".join((kind, input_path, date, rules.entity, str(rules.validate), rules.pii_extra_columns))
+    log = status_log(spark, root)
+    who = (context.job_id, context.facility, context.source or input_path)
+
+    def tell(stage: str, state: str, message: str) -> None:
+        log.append(spark.createDataFrame([(*who, stage, state, message, datetime.now(timezone.utc))], STATUS))
+
+    tell("load", "started", run_id)
+    try:
+        out = Outputs(root, text, run_id)
+        outcome = run(spark, kind, input_path, date, lists, golden, out, rules, context)
+        clean = outcome.where("state != 'ok'").isEmpty()
+        tell("load", "completed" if clean else "completed with errors", run_id)
+        publications(spark, root).append(spark.createDataFrame([(key, run_id, datetime.now(timezone.utc))], LOADS_DONE))
+        if warehouse is not None:
+            tell("warehouse", "started", run_id)
+            _to_warehouse(spark, out, golden, warehouse, key, run_id)
+            tell("warehouse", "completed", run_id)
+    except Exception as e:
+        tell("run", "failed", f"{run_id}: {e}")
+        raise
+    return outcome
+
+
+def _to_warehouse(spark: SparkSession, out: Outputs, golden: DataFrame, prefix: str, key: str, run_id: str) -> None:
+    """A table per entity, so this walks the catalog's entities; their rows stay in Spark.
+
+    An entity that has no rows any more loses those of the load's last run.
+    """
+    landed = spark.read.schema(ROUTED_SCHEMA).parquet(out.rows)
+    loaded_at = datetime.now(timezone.utc)
+    filled = spark.read.parquet(out.at("audit/outcome")).select("entity", (F.col("n_ok") > 0).alias("filled"))
+    for r in golden.select("entity").distinct().join(filled, "entity", "left").orderBy("entity").collect():
+        table = f"{prefix}_{r['entity']}"
+        if r["filled"] or spark.catalog.tableExists(table):
+            sinks.load_warehouse_once(sinks.typed_view(landed, golden, r["entity"]), table, key, run_id, loaded_at)
+
+
+def published(spark: SparkSession, root: str, part: str = "rows", text: bool = False) -> DataFrame:
+    """One output, such as ``rows`` or ``error/files``, of the run that stands for each load, and that ``run``."""
+    runs = [r["run"] for r in publications(spark, root).latest().collect()]
+    reader = spark.read.format("text" if text else "parquet").option("basePath", f"{root}/{part}")
+    if part == "rows":
+        reader = reader.schema(f"{ROUTED_SCHEMA}, run string")
+    return reader.load([f"{literal_glob(root)}/{part}/run={r}" for r in runs])
+
+
 def requested_runs(controls: DataFrame, divisions: DataFrame, source: str) -> DataFrame:
     """(job_id, facility, from_date, run_type, run_source): what the control files ask for."""
     asked = controls.select("job_id", "facility", "from_date", F.lit(source).alias("source"))

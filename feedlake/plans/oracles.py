@@ -237,8 +237,11 @@ FROM orders""",
     "run_audit": f"""
 WITH rows_ AS ({_CUSTOMERS}) SELECT 'customer' AS entity, count(*) FILTER (verdict = 'ok') AS n_ok,
   count(*) FILTER (verdict <> 'ok') AS n_rejected,
-  (SELECT count(DISTINCT c_nationkey) FROM customer WHERE c_nationkey IN (5, 7)) AS n_rejected_files, 'errors' AS state
-FROM rows_""",
+  (SELECT count(DISTINCT c_nationkey) FROM customer WHERE c_nationkey IN (5, 7)) AS n_rejected_files,
+  (SELECT count(*) FROM supplier WHERE s_nationkey < 5) AS n_missing_files, (SELECT count(*) FROM nation) AS n_bad_manifest_rows,
+  'errors' AS state
+FROM rows_
+UNION ALL SELECT 'vendor', 0, 0, 0, count(*), 0, 'errors' FROM supplier WHERE s_nationkey >= 5 HAVING count(*) > 0""",
     "text_sink": f"""
 WITH rows_ AS ({_CUSTOMERS}), routed AS ({_ROUTED})
 SELECT verdict, CASE WHEN verdict = 'file' THEN '/land/' || org_id || {US} || file_verdict ELSE value END AS value

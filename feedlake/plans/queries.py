@@ -566,7 +566,11 @@ def route_rows(spark, folder):
 
 
 def run_audit(spark, folder):
-    return audit.outcome(routed_customers(spark, folder))
+    missing = table(spark, folder, "supplier").select(
+        F.concat(F.lit("/land/"), F.when(F.col("s_nationkey") < 5, "customer_").otherwise("Vendor_"), _s("s_suppkey")).alias("file_path")
+    )
+    unnamed = table(spark, folder, "nation").select(F.lit("customer").alias("entity"))
+    return audit.outcome(routed_customers(spark, folder), others=audit.unloadable(missing, unnamed))
 
 
 # -- whole loads over files ---------------------------------------------------------------------

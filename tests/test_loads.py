@@ -193,7 +193,7 @@ def test_sinks(spark, landing, golden, lists, tmp_path):
         "chart_4.0_20150901090417_1267.asv": "no_golden_schema",
         "allergy_4.0_3_1267.asv": "bad_header",
     }
-    states = {r["entity"]: tuple(r)[1:] for r in audit.outcome(landed).collect()}
+    states = {r["entity"]: (*tuple(r)[1:4], r["state"]) for r in audit.outcome(landed).collect()}
     assert states == {"allergy": (5, 2, 2, "errors"), "patient": (1, 1, 0, "errors"), "chart": (0, 0, 1, "errors")}
     typed = sinks.typed_view(landed, golden, "patient").collect()
     assert [tuple(r) for r in typed] == [("7", None, "Paris", "0", "JOB1", "patient_4.0_20150901090417_416.asv")]
@@ -250,7 +250,7 @@ def test_manifest_run_writes_manifest_and_control(spark, landing, golden, lists,
     landing.entity("416", "2015-09-01", "allergy", A_TITLES, A_TYPES, [["1", "n", "1"]])
     out = Outputs(str(tmp_path / "out"))
     outcome = run(spark, "divisional", landing.source, "2015-09-01", lists, golden, out)
-    assert [tuple(r) for r in outcome.collect()] == [("allergy", 1, 0, 0, "ok")]
+    assert [tuple(r) for r in outcome.collect()] == [("allergy", 1, 0, 0, 0, 0, "ok")]
     line = US.join(["allergy_4.0_20150901090417_416.asv", "2", "h", "t", "0", "DIV", "Manifest_4.0_2208.asv"])
     assert [r["value"] for r in spark.read.text(out.root + "/manifest").collect()] == [line]
     assert spark.read.text(out.root + "/control").first()["value"].startswith("2208\x1f2015-09-01")
