@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake.plans.ingest import AllowLists, landing_path
-from feedlake.plans.job import LOADS, Outputs, RunContext, run
+from feedlake.plans.job import LOADS, Outputs, RunContext, run, run_published
 from feedlake.plans.load import Rules
 from feedlake.plans.requests import load_requests, requests_of
 from feedlake.sources import allowlists
@@ -41,6 +41,8 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-driver")
     p.add_argument("--job-id", default="")
     p.add_argument("--facility", default="")
+    p.add_argument("--publish", action="store_true", help="let all outputs of a load appear at once, in place of its last run's")
+    p.add_argument("--warehouse", help="with --publish: prefix of the tables that take the accepted rows, one per entity")
     p.add_argument("--text", action="store_true", help="also write the rows as text lines")
     return p
 
@@ -77,17 +79,12 @@ def main(argv: list[str] | None = None) -> None:
         runs = POLLS[args.load](spark, path, lists, catalog(spark, args), args.out_path.rstrip("/"), rules)
         print(f"{len(runs)} loads")
         return
-    outcome = run(
-        spark,
-        args.load,
-        args.input_path,
-        args.date,
-        lists,
-        catalog(spark, args),
-        Outputs(args.out_path.rstrip("/"), text=args.text),
-        rules,
-        RunContext(args.job_id, args.facility, args.input_path),
-    )
+    load = (spark, args.load, args.input_path, args.date, lists, catalog(spark, args))
+    root, context = args.out_path.rstrip("/"), RunContext(args.job_id, args.facility, args.input_path)
+    if args.publish:
+        outcome = run_published(*load, root, rules, context, args.text, args.warehouse)
+    else:
+        outcome = run(*load, Outputs(root, text=args.text), rules, context)
     print(f"{outcome.count()} entities, the first 1000 of them:")
     outcome.orderBy("entity").show(1000, truncate=False)
 

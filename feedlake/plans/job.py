@@ -113,6 +113,7 @@ def run(
 
 
 LOADS_DONE = "load string, run string, at timestamp"
+WORK = "job_id string, facility string, source string, event string, worker string, at timestamp"
 STATUS = "job_id string, facility string, source string, stage string, state string, message string, at timestamp"
 
 
@@ -126,6 +127,22 @@ def status_log(spark: SparkSession, root: str) -> Ledger:
     return Ledger(spark, f"{root}/status", ("job_id", "facility", "source", "stage"), STATUS)
 
 
+def work_queue(spark: SparkSession, root: str) -> Ledger:
+    """What was loaded and waits for the next stage; the latest event of a load is its state."""
+    return Ledger(spark, f"{root}/work", ("job_id", "facility", "source"), WORK)
+
+
+def take_work(spark: SparkSession, root: str, worker: str, limit: int = 1) -> DataFrame:
+    """Up to ``limit`` loads that wait longest, now this worker's; no other worker gets them."""
+    taken = [F.lit("taken").alias("event"), F.lit(worker).alias("worker"), F.lit(datetime.now(timezone.utc)).alias("at")]
+
+    def choose(latest: DataFrame) -> DataFrame:
+        waiting = latest.where("event = 'loaded'").orderBy("at", "job_id", "facility", "source").limit(limit)
+        return waiting.select("job_id", "facility", "source", *taken)
+
+    return work_queue(spark, root).decide(choose)
+
+
 def run_published(
     spark: SparkSession,
     kind: str,
@@ -164,6 +181,7 @@ def run_published(
             tell("warehouse", "started", run_id)
             _to_warehouse(spark, out, golden, warehouse, key, run_id)
             tell("warehouse", "completed", run_id)
+        work_queue(spark, root).append(spark.createDataFrame([(*who, "loaded", "", datetime.now(timezone.utc))], WORK))
     except Exception as e:
         tell("run", "failed", f"{run_id}: {e}")
         raise

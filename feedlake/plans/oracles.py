@@ -279,5 +279,20 @@ counted AS ({_COUNTED} GROUP BY org_id, feed_date),
 years AS (SELECT DISTINCT strftime(o_orderdate, '%Y') || '-01-01' AS feed_date, unnest(['1', '3']) AS org_id FROM orders)
 SELECT org_id, feed_date, {_ZEROS}, CASE WHEN feed_date < '1995' AND n_loads = 1 THEN 1 ELSE 2 END AS n_missing
 FROM years LEFT JOIN counted USING (org_id, feed_date)""",
+    "published_runs": f"""
+WITH loaded AS ({_load("'1', '3', '4'", "199%", "''", False)}),
+places AS (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS org_id, strftime(o_orderdate, '%Y') || '-01-01' AS feed_date FROM orders
+  WHERE substr(o_orderpriority, 1, 1) <> '2' AND strftime(o_orderdate, '%Y') LIKE '199%')
+SELECT 'rows' AS part, verdict AS what, count(*) AS n FROM loaded GROUP BY verdict
+UNION ALL SELECT 'files', file_verdict, count(*) FROM loaded WHERE file_verdict <> 'ok' GROUP BY file_verdict
+UNION ALL SELECT 'missing', '', count(*) FROM places WHERE org_id <> '5' HAVING count(*) > 0
+UNION ALL SELECT 'manifest', '', 2 * count(*) FROM places HAVING count(*) > 0
+UNION ALL SELECT 'control', '1', count(*) FROM places WHERE org_id = '1' HAVING count(*) > 0
+UNION ALL SELECT 'control', '2208', count(DISTINCT feed_date) FROM places HAVING count(*) > 0
+UNION ALL SELECT 'status', '2208 load ' || unnest(['started', 'completed with errors']), 2""",
+    "warehouse_load": f"""
+WITH rows_ AS ({_CUSTOMERS}), typed AS (SELECT key AS cust_key, seg AS segment FROM rows_ WHERE verdict = 'ok')
+SELECT cust_key, segment, 'R2' AS run_id, 'all' AS load_key, '2024-01-03' AS load_day FROM typed
+UNION ALL SELECT cust_key, segment, 'R1', 'building', '2024-01-02' FROM typed WHERE segment = 'BUILDING'""",
     "stream_arrivals": _load("'1', '2', '4'", "%", "'JOB' || org_id", False),
 }

@@ -6,8 +6,10 @@ SQL that states the expected result.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from feedlake.functions import header, manifest, paths, rows, text
 from feedlake.functions.text import RS, US
 from feedlake.operators import audit, filters, joins, schema, sinks
 from feedlake.operators.rows import FILE_RECORD, route
-from feedlake.plans import exports
+from feedlake.plans import exports, job
 from feedlake.plans.ingest import AllowLists, directory_load, manifest_load
 from feedlake.plans.load import Rules
 from feedlake.plans.requests import load_requests
@@ -771,6 +773,45 @@ def stream_manifest(spark, folder):
     return _polled(spark, out, "missing")
 
 
+def published_runs(spark, folder):
+    """A load by manifests, published twice: how much each of its outputs holds, and its status events."""
+    root, out = shared_dir(spark), shared_dir(spark)
+    feed = _orders_feed(spark, folder, root)
+    places = feed.where(F.col("org_id") != "2").select("org_id", "feed_date").distinct()
+    named = places.select("*", F.lit(1).alias("n"), F.explode(F.array(F.lit(0), F.lit(999_999))).alias("part"))
+    exports.write_manifest(named, root, "2208", "orders")
+    controls = places.where(F.col("org_id") == "1").unionByName(places.select(F.lit("2208").alias("org_id"), "feed_date").distinct())
+    exports.write_controls(controls, root, F.lit("JOB"))
+    golden, source = _golden(spark, ORDERS_GOLDEN), f"{root}/data/*/feed/finished"
+    for _ in range(2):
+        job.run_published(spark, "divisional", source, "199*", _lists(spark), golden, out, context=job.RunContext("J", "2208", "feed"))
+    parts = {
+        "rows": job.published(spark, out).groupBy(F.col("verdict").alias("what")),
+        "files": job.published(spark, out, "error/files").groupBy(F.col("reason").alias("what")),
+        "missing": job.published(spark, out, "error/missing_files").groupBy(F.lit("").alias("what")),
+        "manifest": job.published(spark, out, "manifest", text=True).groupBy(F.lit("").alias("what")),
+        "control": job.published(spark, out, "control", text=True).where(F.contains("value", F.lit("JOB"))).groupBy(
+            F.substring_index("value", US, 1).alias("what")
+        ),
+        "status": job.status_log(spark, out).events().groupBy(F.concat_ws(" ", "facility", "stage", "state").alias("what")),
+    }
+    told = [g.agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("part"), "what", "n") for p, g in parts.items()]
+    return reduce(DataFrame.unionByName, told)
+
+
+def warehouse_load(spark, folder):
+    """A table that two loads fill, one of them again with more rows."""
+    name = f"feedlake_{uuid.uuid4().hex}"
+    path = shared_dir(spark)
+    typed = typed_view(spark, folder)
+    loads = (("all", F.col("segment") != "BUILDING"), ("building", F.col("segment") == "BUILDING"), ("all", F.lit(True)))
+    for n, (key, part) in enumerate(loads):
+        sinks.load_warehouse_once(typed.where(part), name, key, f"R{n}", datetime(2024, 1, 1 + n, 12, tzinfo=timezone.utc), path)
+    rows_ = spark.read.schema(spark.table(name).schema).parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return rows_.select("cust_key", "segment", "run_id", "load_key", F.date_format("load_ts", "yyyy-MM-dd").alias("load_day"))
+
+
 def text_sink(spark, folder):
     out = shared_dir(spark)
     routed = routed_customers(spark, folder).select(
@@ -800,6 +841,6 @@ QUERIES = {
         reorder_columns, pii_blank, numeric_check, arity_check, audit_columns,
         route_rows, run_audit, text_sink, typed_view,
         ingest_directory, ingest_manifest, ingest_large_files, requested_runs, stream_arrivals,
-        poll_arrivals, stream_manifest,
+        poll_arrivals, stream_manifest, published_runs, warehouse_load,
     )
 }

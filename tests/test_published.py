@@ -7,9 +7,9 @@ import uuid
 import pytest
 from test_loads import A_TITLES, A_TYPES
 
-from feedlake.operators import audit, sinks
+from feedlake.operators import audit
 from feedlake.plans import job
-from feedlake.plans.job import RunContext, published, run_published, status_log
+from feedlake.plans.job import RunContext, published, run_published, status_log, take_work
 
 US = "\x1f"
 DAY = "2015-09-01"
@@ -60,6 +60,8 @@ def test_a_run_replaces_its_own_outputs_at_once(spark, landing, again, tmp_path,
     assert ids(published(spark, root)) == ["1", "2", "3"]
     assert published(spark, root, "error/missing_files").count() == 1
     assert published(spark, root, "manifest", text=True).count() == 6
+    taken = [[tuple(r)[:3] for r in take_work(spark, root, worker).collect()] for worker in ("a", "b")]
+    assert taken == [[("J", "2208", "feed")], []]
 
 
 def test_warehouse_is_loaded_once(spark, landing, again, golden, tmp_path):
