@@ -89,13 +89,18 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Prefix sums from which ``span_hashes`` takes the hash of any span."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * powers(len(data)), out=out[1:])
+def sequence_hashes(codes: np.ndarray) -> np.ndarray:
+    """Prefix sums from which ``span_hashes`` takes the hash of any span of 64-bit symbols."""
+    out = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * powers(len(codes)), out=out[1:])
     return out
 
 
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
+    """The same of bytes."""
+    return sequence_hashes(BYTE_CODES[data])
+
+
 def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the spans: the same bytes give the same hash wherever they stand."""
     value = (prefix[ends] - prefix[starts]) * powers(len(prefix), True)[starts]

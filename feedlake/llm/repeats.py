@@ -11,6 +11,9 @@ repeat; it is reported with all its occurrences.
 
 Keys with more distinct blocks than one task should hold go another exact way: their strings are
 counted by hash, which Spark spreads over all tasks.
+
+Passages of fewer bytes than that are told the same way, with words in place of bytes: strings of
+``passage`` words that also stand in another document.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm import bytesnp
@@ -28,8 +31,10 @@ from feedlake.llm.common import small
 from feedlake.scale import materialise
 
 LENGTH, GRAM = 400, 32
+PASSAGE, PASSAGE_GRAM = 50, 12
 HOT_BLOCKS = 4000
 CHUNK = 1 << 20
+_PLACE = (1 << 40) - 1
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -45,17 +50,22 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def blocks_of(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
+def words_of(data: np.ndarray, bounds: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and each text's first word (one more entry for the end)."""
+    starts, ends = bytesnp.spans_of(~bytesnp.SPACE[data], bounds)
+    return bytesnp.span_hashes(prefix, starts, ends), np.searchsorted(starts, bounds)
+
+
+def blocks_of(prefix: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     """(text, key, hash, first, last, again) of every block; starts count from the text's start.
 
     ``again`` says that the key's k-gram stands in the block more than once, so that the block may
     hold one string twice.
     """
     none = [np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, bool)]
-    if len(data) < length:
+    if len(prefix) <= length:
         return none
-    prefix = bytesnp.prefix_hashes(data)
-    at = np.arange(len(data) - gram + 1)
+    at = np.arange(len(prefix) - gram)
     grams = bytesnp.span_hashes(prefix, at, at + gram)
     least = sliding_least(grams, length - gram + 1)
     text = bytesnp.owner(bounds, np.arange(len(least)))
@@ -85,21 +95,23 @@ def blocks_of(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     return of, key, hashes, first - bounds[of], last - bounds[of], again
 
 
-def _blocker(length: int, gram: int):
+_BLOCKS = "array<struct<key:long,hash:long,first:long,last:long,again:boolean>>"
+
+
+def _lists(blocks, n: int) -> pa.ListArray:
+    """The blocks of n texts as one list each."""
+    of, key, hashes, first, last, again = blocks
+    columns = [key.view(np.int64), hashes.view(np.int64), first, last, again]
+    rows = pa.StructArray.from_arrays([pa.array(c) for c in columns], ["key", "hash", "first", "last", "again"])
+    return pa.ListArray.from_arrays(np.searchsorted(of, np.arange(n + 1)).astype(np.int32), rows)
+
+
+def _blocker(length: int, gram: int, passage: int, passage_gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in bytesnp.portions(batches, "text"):
-            of, key, hashes, first, last, again = blocks_of(data, bounds, length, gram)
-            offsets = np.searchsorted(of, np.arange(part.num_rows + 1)).astype(np.int32)
-            rows = pa.StructArray.from_arrays(
-                [
-                    pa.array(key.view(np.int64)),
-                    pa.array(hashes.view(np.int64)),
-                    pa.array(first, pa.int64()),
-                    pa.array(last, pa.int64()),
-                    pa.array(again),
-                ],
-                ["key", "hash", "first", "last", "again"],
-            )
+            prefix = bytesnp.prefix_hashes(data)
+            words, word_bounds = words_of(data, bounds, prefix)
+            word_prefix = bytesnp.sequence_hashes(words)
             body = data.tobytes()
             whole = [hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -107,9 +119,10 @@ def _blocker(length: int, gram: int):
                     *(part.column(c) for c in ("doc_id", "t1", "t2")),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(whole),
-                    pa.ListArray.from_arrays(offsets, rows),
+                    _lists(blocks_of(prefix, bounds, length, gram), part.num_rows),
+                    _lists(blocks_of(word_prefix, word_bounds, passage, passage_gram), part.num_rows),
                 ],
-                ["doc_id", "t1", "t2", "n_bytes", "sha256", "blocks"],
+                ["doc_id", "t1", "t2", "n_bytes", "sha256", "blocks", "passages"],
             )
 
     return run
@@ -191,20 +204,29 @@ def maximal_repeats(order: np.ndarray, common: np.ndarray, before: np.ndarray, l
                 stack.append((size, start))
 
 
-def repeats_in(segments: list[bytes], length: int) -> list[np.ndarray]:
-    """For each segment the (start, end) spans of maximal repeats of at least ``length`` bytes that
-    stand in it and anywhere else in the segments, or twice in it."""
+def repeats_in(segments: list, length: int, base: int = 256, documents: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each segment the (start, end) spans of maximal repeats of at least ``length`` symbols that
+    stand in it and anywhere else in the segments, or twice in it.
+
+    Segments are bytes, or arrays of symbols below ``base``. With ``documents``, the number of each
+    segment's document, only repeats that several documents hold count; -1 stands for several.
+    """
     sizes = np.array([len(s) for s in segments])
     starts = np.r_[0, np.cumsum(sizes + 1)]
     symbols = np.empty(starts[-1], np.int64)
     for k, (at, s) in enumerate(zip(starts, segments, strict=False)):
-        symbols[at : at + len(s)] = np.frombuffer(s, np.uint8)
-        symbols[at + len(s)] = 256 + k
+        symbols[at : at + len(s)] = np.frombuffer(s, np.uint8) if isinstance(s, bytes) else s
+        symbols[at + len(s)] = base + k
     order, common = suffix_array(symbols, length)
     before = np.r_[-1, symbols[:-1]]
     before[starts[:-1]] = -1
+    holder = None if documents is None else np.repeat(documents, sizes + 1)
     cover = np.zeros(len(symbols) + 1, np.int64)
     for size, places in maximal_repeats(order, common, before, length):
+        if holder is not None:
+            held = holder[places]
+            if held.min() >= 0 and (held == held[0]).all():
+                continue
         np.add.at(cover, places, 1)
         np.add.at(cover, places + size, -1)
     inside = np.cumsum(cover[:-1]) > 0
@@ -215,35 +237,59 @@ def repeats_in(segments: list[bytes], length: int) -> list[np.ndarray]:
     return np.split(out, np.searchsorted(of, np.arange(1, len(segments))))
 
 
-_SEGMENT = "key long, n long, hot boolean, t1 long, t2 long, first long, last long, segment binary"
+_SEGMENT = "words boolean, key long, n long, hot boolean, t1 long, t2 long, first long, last long, segment binary"
 _SPAN = "t1 long, t2 long, start long, end long"
 
 
-def _cutter(length: int):
-    """The bytes of the wanted blocks of each text."""
+def _cutter(length: int, passage: int):
+    """The bytes of the wanted blocks of each text, or the hashes of their words."""
+    names = ["words", "key", "n", "hot", "t1", "t2", "first", "last", "segment"]
+    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.binary()]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "n", "hot", "t1", "t2", "first", "last", "segment"]
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 100):
-                rows = []
-                for r in batch.slice(lo, 100).to_pylist():
-                    text = (r["text"] or "").encode()
-                    for w in r["wanted"]:
-                        rows.append((w["key"], w["n"], w["hot"], r["t1"], r["t2"], w["first"], w["last"], text[w["first"] : w["last"] + length]))
-                columns = list(zip(*rows, strict=True)) or [()] * len(names)
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+        for part, data, bounds in bytesnp.portions(batches, "text"):
+            words, word_bounds = words_of(data, bounds, bytesnp.prefix_hashes(data))
+            rows, size = [], 0
+            told = zip(*(part.column(c).to_pylist() for c in ("t1", "t2", "wanted")), strict=True)
+            for k, (t1, t2, wanted) in enumerate(told):
+                for w in wanted:
+                    if w["words"]:
+                        segment = words[word_bounds[k] + w["first"] : word_bounds[k] + w["last"] + passage].tobytes()
+                    else:
+                        segment = data[bounds[k] + w["first"] : bounds[k] + w["last"] + length].tobytes()
+                    rows.append((w["words"], w["key"], w["n"], w["hot"], t1, t2, w["first"], w["last"], segment))
+                    size += len(segment)
+                    if size > 4 * CHUNK:
+                        yield batch(rows)
+                        rows, size = [], 0
+            if rows:
+                yield batch(rows)
 
     return run
 
 
-def _scanner(length: int):
+def _by_bytes(rows: list[dict], length: int) -> list[np.ndarray]:
+    return repeats_in([r["segment"] for r in rows], length)
+
+
+def _by_words(rows: list[dict], length: int) -> list[np.ndarray]:
+    segments = [np.frombuffer(r["segment"], np.int64) for r in rows]
+    kinds, numbers = np.unique(np.concatenate(segments), return_inverse=True)
+    segments = np.split(numbers, np.cumsum([len(s) for s in segments])[:-1])
+    documents = np.unique([r["t1"] for r in rows], return_inverse=True)[1]
+    documents[[r["n"] > 1 for r in rows]] = -1
+    return repeats_in(segments, length, len(kinds), documents)
+
+
+def _scanner(length: int, repeats):
     """Maximal repeats among the segments of each key; whole keys, about ``CHUNK`` bytes at a time."""
 
     def scan(rows: list[dict]) -> pa.RecordBatch:
         t1, t2, start, end = [], [], [], []
-        for row, spans in zip(rows, repeats_in([r["segment"] for r in rows], length), strict=True):
+        for row, spans in zip(rows, repeats(rows, length), strict=True):
             if row["n"] == 1:
                 for a, b in spans:
                     t1.append(row["t1"])
@@ -267,15 +313,15 @@ def _scanner(length: int):
     return run
 
 
-def _windows(length: int):
+def _windows(length: int, prefix_of):
     """Every string of a hot key's segments as its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                data = np.frombuffer(r["segment"], np.uint8)
-                at = np.arange(len(data) - length + 1)
-                hashes = bytesnp.span_hashes(bytesnp.prefix_hashes(data), at, at + length).view(np.int64)
+                prefix = prefix_of(r["segment"])
+                at = np.arange(len(prefix) - length)
+                hashes = bytesnp.span_hashes(prefix, at, at + length).view(np.int64)
                 same = lambda v: pa.array(np.full(len(at), v), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [same(r["key"]), same(r["n"]), same(r["t1"]), same(r["t2"]), pa.array(at + r["first"], pa.int64()), pa.array(hashes)],
@@ -285,26 +331,26 @@ def _windows(length: int):
     return run
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted((s["start"], s["end"]) for s in spans):
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], b)
-        else:
-            out.append((a, b))
-    return out
-
-
 def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's spans joined where they touch."""
     for batch in batches:
-        merged = [_merged(s) for s in batch.column("spans").to_pylist()]
+        spans = batch.column("spans")
+        flat = spans.flatten()
+        of = np.repeat(np.arange(len(spans)), np.asarray(spans.value_lengths()))
+        start, end = (np.asarray(flat.field(c)) | of << 40 for c in ("start", "end"))
+        order = np.argsort(start, kind="stable")
+        start, reach = start[order], np.maximum.accumulate(end[order])
+        first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]][: len(start)])
+        last = np.r_[first[1:] - 1, len(start) - 1][: len(first)]
+        of, start, end = start[first] >> 40, start[first] & _PLACE, reach[last] & _PLACE
+        rows = pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"])
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("t1"),
                 batch.column("t2"),
-                pa.array([sum(b - a for a, b in m) for m in merged], pa.int64()),
-                pa.array([len(m) for m in merged], pa.int64()),
-                pa.array([[{"start": a, "end": b} for a, b in m] for m in merged], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                pa.array(np.bincount(of, end - start, len(spans)).astype(np.int64)),
+                pa.array(np.bincount(of, minlength=len(spans))),
+                pa.ListArray.from_arrays(np.searchsorted(of, np.arange(len(spans) + 1)).astype(np.int32), rows),
             ],
             ["t1", "t2", "n_removed", "n_spans", "spans"],
         )
@@ -331,13 +377,20 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumns({"t1": F.xxhash64("doc_id", "text"), "t2": F.xxhash64("text", F.lit(1), "doc_id")})
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Of keyed documents: (doc_id, t1, t2, n_bytes, sha256) per row, and merged spans per t1, t2."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = "array<struct<key:long,hash:long,first:long,last:long,again:boolean>>"
-    cut = materialise(
-        docs.mapInArrow(_blocker(length, gram), f"doc_id {kind}, t1 long, t2 long, n_bytes long, sha256 string, blocks {blocks}")
+def _joined(spans: DataFrame) -> DataFrame:
+    """Spans of each text, joined where they touch."""
+    return (
+        spans.groupBy("t1", "t2")
+        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        .mapInArrow(_merger, "t1 long, t2 long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>")
     )
+
+
+_STRING = "key long, n long, t1 long, t2 long, start long, hash long"
+
+
+def _string_blocks(cut: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of blocks that stand twice as a whole, and one copy of each block still to look into."""
     rows = cut.select("t1", "t2", F.inline("blocks"))
     distinct = materialise(
         rows.groupBy("key", "hash").agg(
@@ -349,43 +402,105 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> t
     )
     keys = distinct.groupBy("key").agg(F.count("*").alias("d"), F.count_if(F.col("n") == 1).alias("single"), F.max("again").alias("again"))
     keys = keys.where("single > 0 and (d > 1 or again)").select("key", (F.col("d") > HOT_BLOCKS).alias("hot"))
-    wanted = (
-        distinct.join(keys, "key")
-        .select("at.t1", "at.t2", F.struct("key", "n", "hot", "at.first", "at.last").alias("w"))
-        .groupBy("t1", "t2")
-        .agg(F.collect_list("w").alias("wanted"))
+    wanted = distinct.join(keys, "key").select("at.t1", "at.t2", F.lit(False).alias("words"), "key", "n", "hot", "at.first", "at.last")
+    return counted, wanted
+
+
+def _passage_blocks(cut: DataFrame, passage: int) -> tuple[DataFrame, DataFrame]:
+    """The same of blocks of words; ``n`` is 1 where one document alone holds the block, else 2."""
+    rows = cut.select("t1", "t2", F.inline("passages")).drop("again")
+    distinct = materialise(
+        rows.groupBy("key", "hash").agg(
+            F.min("t1").alias("t1"),
+            F.max("t1").alias("other"),
+            F.min_by("t2", "t1").alias("t2"),
+            F.min_by("first", "t1").alias("first"),
+            F.max(F.col("last") - F.col("first")).alias("size"),
+        )
     )
-    texts = docs.select("t1", "t2", "text").join(small(materialise(wanted)), ["t1", "t2"])
-    segments = materialise(texts.mapInArrow(_cutter(length), _SEGMENT))
-    scanned = (
-        segments.where("not hot").repartition("key").sortWithinPartitions("key").mapInArrow(_scanner(length), _SPAN)
+    counted = rows.join(distinct.where("t1 < other").select("key", "hash"), ["key", "hash"]).select(
+        "t1", "t2", F.col("first").alias("start"), (F.col("last") + passage).alias("end")
+    )
+    keys = distinct.groupBy("key").agg(
+        F.count("*").alias("d"),
+        F.min("t1").alias("least"),
+        F.max("other").alias("most"),
+        F.count_if(F.col("t1") == F.col("other")).alias("single"),
     )
-    strings = segments.where("hot").mapInArrow(_windows(length), "key long, n long, t1 long, t2 long, start long, hash long")
-    often = strings.groupBy("key", "hash").agg(F.sum("n").alias("times")).where("times > 1").select("key", "hash")
-    hot = strings.where("n = 1").join(often, ["key", "hash"]).select("t1", "t2", "start", (F.col("start") + length).alias("end"))
-    spans = (
-        counted.unionByName(scanned)
-        .unionByName(hot)
+    keys = keys.where("single > 0 and d > 1 and least < most").select("key", (F.col("d") > HOT_BLOCKS).alias("hot"))
+    n = F.when(F.col("t1") == F.col("other"), 1).otherwise(2).cast("long")
+    wanted = distinct.join(keys, "key").select(
+        "t1", "t2", F.lit(True).alias("words"), "key", n.alias("n"), "hot", "first", (F.col("first") + F.col("size")).alias("last")
+    )
+    return counted, wanted
+
+
+def _byte_prefix(segment: bytes) -> np.ndarray:
+    return bytesnp.prefix_hashes(np.frombuffer(segment, np.uint8))
+
+
+def _word_prefix(segment: bytes) -> np.ndarray:
+    return bytesnp.sequence_hashes(np.frombuffer(segment, np.uint64))
+
+
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, passage: int = PASSAGE, passage_gram: int = PASSAGE_GRAM
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of keyed documents: (doc_id, t1, t2, n_bytes, sha256) per row, and per t1, t2 the merged spans
+    of repeated bytes and those, in words, of passages that another document holds too."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, t1 long, t2 long, n_bytes long, sha256 string, blocks {_BLOCKS}, passages {_BLOCKS}"
+    cut = materialise(docs.mapInArrow(_blocker(length, gram, passage, passage_gram), schema))
+    counted, wanted = _string_blocks(cut, length)
+    counted_words, wanted_words = _passage_blocks(cut, passage)
+    wanted = (
+        wanted.unionByName(wanted_words)
         .groupBy("t1", "t2")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-        .mapInArrow(_merger, "t1 long, t2 long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>")
+        .agg(F.collect_list(F.struct("words", "key", "n", "hot", "first", "last")).alias("wanted"))
     )
-    return cut.drop("blocks"), materialise(spans)
+    texts = docs.select("t1", "t2", "text").join(small(materialise(wanted)), ["t1", "t2"])
+    segments = materialise(texts.mapInArrow(_cutter(length, passage), _SEGMENT))
+
+    def scanned(words: bool, size: int, repeats) -> DataFrame:
+        some = segments.where(~F.col("hot") & (F.col("words") == words))
+        return some.repartition("key").sortWithinPartitions("key").mapInArrow(_scanner(size, repeats), _SPAN)
+
+    def hot(words: bool, size: int, prefix_of, often: Column) -> DataFrame:
+        some = segments.where(F.col("hot") & (F.col("words") == words))
+        strings = some.mapInArrow(_windows(size, prefix_of), _STRING)
+        kept = strings.groupBy("key", "hash").agg(often.alias("often")).where("often").select("key", "hash")
+        return strings.where("n = 1").join(kept, ["key", "hash"]).select("t1", "t2", "start", (F.col("start") + size).alias("end"))
+
+    spans = counted.unionByName(scanned(False, length, _by_bytes)).unionByName(hot(False, length, _byte_prefix, F.sum("n") > 1))
+    several = (F.max("n") > 1) | (F.min("t1") < F.max("t1"))
+    shared = counted_words.unionByName(scanned(True, passage, _by_words)).unionByName(hot(True, passage, _word_prefix, several))
+    return cut.drop("blocks", "passages"), materialise(_joined(spans)), _joined(shared)
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    gram: int = GRAM,
+    passage: int = PASSAGE,
+    passage_gram: int = PASSAGE_GRAM,
 ) -> DataFrame:
-    """One row per input row: (doc_id, n_bytes, n_removed, n_spans, kept_sha256).
+    """One row per input row: (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared_words).
 
     Every byte of a text that lies in a string of ``length`` UTF-8 bytes which also starts anywhere
     else, in the same text or another, is removed; n_spans counts the maximal removed runs. A null
     text is empty. Texts shorter than ``length`` lose nothing. Repeated rows are repeats of each
     other, so both are removed whole if long enough. Ids may be null. Other columns are not read.
+
+    n_shared_words counts the words, split at the six ASCII blanks, in strings of ``passage`` words
+    that also stand in a document of another id or text; nothing is removed for it.
     """
     docs = _keyed(docs, id_col, text_col)
-    rows, spans = repeated_spans(docs, length, gram)
-    told = materialise(rows.join(spans.select("t1", "t2", "n_removed", "n_spans"), ["t1", "t2"], "left").fillna(0, ["n_removed", "n_spans"]))
+    rows, spans, shared = repeated_spans(docs, length, gram, passage, passage_gram)
+    shared = shared.select("t1", "t2", F.col("n_removed").alias("n_shared_words"))
+    told = rows.join(spans.select("t1", "t2", "n_removed", "n_spans"), ["t1", "t2"], "left").join(shared, ["t1", "t2"], "left")
+    told = materialise(told.fillna(0, ["n_removed", "n_spans", "n_shared_words"]))
     partly = told.where("n_removed > 0 and n_removed < n_bytes").select("t1", "t2").distinct()
     partly = spans.join(partly, ["t1", "t2"], "left_semi").select("t1", "t2", "spans")
     rest = (
@@ -404,4 +519,5 @@ def remove_repeats(
         .when(F.col("n_removed") == F.col("n_bytes"), F.lit(empty))
         .otherwise(F.col("rest"))
         .alias("kept_sha256"),
+        "n_shared_words",
     )

@@ -113,6 +113,32 @@ def test_repeats(docs, none, monkeypatch, hot):
     assert repeats.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [4000, 1])
+@pytest.mark.parametrize(("size", "gram"), [(50, 12), (6, 3)])
+def test_passages_of_other_documents(spark, docs, monkeypatch, hot, size, gram):
+    monkeypatch.setattr(repeats, "HOT_BLOCKS", hot)
+    rng = random.Random(3)
+    shared = [prose(rng, 60, 50) for _ in range(4)]
+    extra = [" ".join(rng.choice([*shared, prose(rng, rng.randrange(30), 5)]) for _ in range(rng.randrange(4))) for _ in range(60)]
+    extra = spark.createDataFrame(list(enumerate([*extra, shared[0] * 2, f"{shared[1]} {shared[1]}"], 1000)), "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(extra)
+    rows = pairs(docs)
+    words = [WORD.findall(t or "") for _, t in rows]
+    holders = collections.defaultdict(set)
+    for row, w in zip(rows, words, strict=True):
+        for k in range(len(w) - size + 1):
+            holders[tuple(w[k : k + size])].add((row[0], row[1] or ""))
+    want = []
+    for (i, _), w in zip(rows, words, strict=True):
+        covered = set()
+        for k in range(len(w) - size + 1):
+            if len(holders[tuple(w[k : k + size])]) > 1:
+                covered.update(range(k, k + size))
+        want.append((i, len(covered)))
+    assert sum(n > 0 for _, n in want) > 20
+    same(repeats.remove_repeats(docs, passage=size, passage_gram=gram), want, ["doc_id", "n_shared_words"])
+
+
 def test_suffix_array_agrees_with_plain_sorting():
     rng = random.Random(5)
     for _ in range(60):
