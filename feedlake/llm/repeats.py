@@ -34,7 +34,6 @@ LENGTH, GRAM = 400, 32
 PASSAGE, PASSAGE_GRAM = 50, 12
 HOT_BLOCKS = 4000
 CHUNK = 1 << 20
-_PLACE = (1 << 40) - 1
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -237,36 +236,39 @@ def repeats_in(segments: list, length: int, base: int = 256, documents: np.ndarr
     return np.split(out, np.searchsorted(of, np.arange(1, len(segments))))
 
 
-_SEGMENT = "words boolean, key long, n long, hot boolean, t1 long, t2 long, first long, last long, segment binary"
+_SEGMENT = "words boolean, key long, n long, hot boolean, t1 long, t2 long, first long, segment binary"
 _SPAN = "t1 long, t2 long, start long, end long"
 
 
 def _cutter(length: int, passage: int):
     """The bytes of the wanted blocks of each text, or the hashes of their words."""
-    names = ["words", "key", "n", "hot", "t1", "t2", "first", "last", "segment"]
-    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.binary()]
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    names = ["words", "key", "n", "hot", "t1", "t2", "first", "segment"]
+    kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.binary()]
+
+    def cut(part, column: str, body: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+        wanted = part.column(column)
+        of = np.repeat(np.arange(part.num_rows), np.asarray(wanted.value_lengths()))
+        flat = wanted.flatten()
+        keys, place = np.asarray(flat.field("key")), np.asarray(flat.field("place"))
+        first = (place.view(np.uint64) >> np.uint64(33)).astype(np.int64)
+        size = (place >> 2 & (1 << 31) - 1) + length
+        sizes = np.r_[0, np.cumsum(size * body.itemsize)]
+        t1, t2 = (np.asarray(part.column(c)) for c in ("t1", "t2"))
+        lo = 0
+        while lo < len(of):
+            hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + 4 * CHUNK, "right")) - 1)
+            at = bounds[of[lo:hi]] + first[lo:hi]
+            segments = [body[a : a + n].tobytes() for a, n in zip(at, size[lo:hi], strict=True)]
+            flags = place[lo:hi]
+            rows = [np.full(hi - lo, column == "passages"), keys[lo:hi], 1 + (flags & 1), flags & 2 > 0, t1[of[lo:hi]], t2[of[lo:hi]], first[lo:hi], segments]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names)
+            lo = hi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in bytesnp.portions(batches, "text"):
-            words, word_bounds = words_of(data, bounds, bytesnp.prefix_hashes(data))
-            rows, size = [], 0
-            told = zip(*(part.column(c).to_pylist() for c in ("t1", "t2", "wanted")), strict=True)
-            for k, (t1, t2, wanted) in enumerate(told):
-                for w in wanted:
-                    if w["words"]:
-                        segment = words[word_bounds[k] + w["first"] : word_bounds[k] + w["last"] + passage].tobytes()
-                    else:
-                        segment = data[bounds[k] + w["first"] : bounds[k] + w["last"] + length].tobytes()
-                    rows.append((w["words"], w["key"], w["n"], w["hot"], t1, t2, w["first"], w["last"], segment))
-                    size += len(segment)
-                    if size > 4 * CHUNK:
-                        yield batch(rows)
-                        rows, size = [], 0
-            if rows:
-                yield batch(rows)
+            yield from cut(part, "strings", data, bounds, length)
+            if part.column("passages").flatten():
+                yield from cut(part, "passages", *words_of(data, bounds, bytesnp.prefix_hashes(data)), passage)
 
     return run
 
@@ -332,28 +334,35 @@ def _windows(length: int, prefix_of):
 
 
 def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's spans joined where they touch."""
-    for batch in batches:
-        spans = batch.column("spans")
-        flat = spans.flatten()
-        of = np.repeat(np.arange(len(spans)), np.asarray(spans.value_lengths()))
-        start, end = (np.asarray(flat.field(c)) | of << 40 for c in ("start", "end"))
-        order = np.argsort(start, kind="stable")
-        start, reach = start[order], np.maximum.accumulate(end[order])
-        first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]][: len(start)])
-        last = np.r_[first[1:] - 1, len(start) - 1][: len(first)]
-        of, start, end = start[first] >> 40, start[first] & _PLACE, reach[last] & _PLACE
+    """(t1, t2, n_removed, n_spans, spans) of spans in the order of their texts and starts, joined where they
+    touch. A text's spans may go on in the next batch."""
+
+    def told(t1, t2, start, end) -> pa.RecordBatch:
+        first = np.flatnonzero(np.r_[True, (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])])
+        of = np.searchsorted(first, np.arange(len(start)), "right") - 1
         rows = pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("t1"),
-                batch.column("t2"),
-                pa.array(np.bincount(of, end - start, len(spans)).astype(np.int64)),
-                pa.array(np.bincount(of, minlength=len(spans))),
-                pa.ListArray.from_arrays(np.searchsorted(of, np.arange(len(spans) + 1)).astype(np.int32), rows),
-            ],
-            ["t1", "t2", "n_removed", "n_spans", "spans"],
-        )
+        columns = [t1[first], t2[first], np.bincount(of, end - start).astype(np.int64), np.bincount(of)]
+        lists = pa.ListArray.from_arrays(np.r_[first, len(start)].astype(np.int32), rows)
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], ["t1", "t2", "n_removed", "n_spans", "spans"])
+
+    kept = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [np.asarray(batch.column(c)) for c in ("t1", "t2", "start", "end")]
+        t1, t2, start, end = rows if kept is None else map(np.concatenate, zip(kept, rows, strict=True))
+        new = np.r_[True, (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1])]
+        text = np.cumsum(new) << 40  # a span of the next text starts beyond all ends of this one
+        reach = np.maximum.accumulate(end + text)
+        first = np.flatnonzero(np.r_[True, (start + text)[1:] > reach[:-1]])
+        end = (reach - text)[np.r_[first[1:] - 1, len(reach) - 1]]
+        t1, t2, start = t1[first], t2[first], start[first]
+        open_at = np.flatnonzero(new[first])[-1]  # the last text's spans
+        kept = [c[open_at:] for c in (t1, t2, start, end)]
+        if open_at:
+            yield told(*(c[:open_at] for c in (t1, t2, start, end)))
+    if kept is not None:
+        yield told(*kept)
 
 
 def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,35 +388,44 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _joined(spans: DataFrame) -> DataFrame:
     """Spans of each text, joined where they touch."""
-    return (
-        spans.groupBy("t1", "t2")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-        .mapInArrow(_merger, "t1 long, t2 long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>")
-    )
+    ordered = spans.repartition("t1", "t2").sortWithinPartitions("t1", "t2", "start")
+    return ordered.mapInArrow(_merger, "t1 long, t2 long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>")
 
 
 _STRING = "key long, n long, t1 long, t2 long, start long, hash long"
 
 
+def _wanted(blocks: DataFrame, several: Column) -> DataFrame:
+    """(t1, t2, w): the one copy to look into of each block, its place and flags in one number (texts are
+    shorter than 2**31 bytes)."""
+    flags = F.shiftleft(F.col("hot").cast("long"), 1).bitwiseOR(several.cast("long"))
+    place = F.shiftleft("first", 33).bitwiseOR(F.shiftleft("size", 2)).bitwiseOR(flags)
+    return blocks.select("t1", "t2", F.struct("key", place.alias("place")).alias("w"))
+
+
 def _string_blocks(cut: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Spans of blocks that stand twice as a whole, and one copy of each block still to look into."""
     rows = cut.select("t1", "t2", F.inline("blocks"))
     distinct = materialise(
         rows.groupBy("key", "hash").agg(
-            F.count("*").alias("n"), F.max("again").alias("again"), F.min(F.struct("t1", "t2", "first", "last")).alias("at")
+            F.count("*").alias("n"),
+            F.max(F.col("again").cast("int")).alias("again"),
+            F.min("t1").alias("t1"),
+            F.min_by("t2", "t1").alias("t2"),
+            F.min_by("first", "t1").alias("first"),
+            F.max(F.col("last") - F.col("first")).alias("size"),
         )
     )
     counted = rows.join(distinct.where("n > 1").select("key", "hash"), ["key", "hash"]).select(
         "t1", "t2", F.col("first").alias("start"), (F.col("last") + length).alias("end")
     )
     keys = distinct.groupBy("key").agg(F.count("*").alias("d"), F.count_if(F.col("n") == 1).alias("single"), F.max("again").alias("again"))
-    keys = keys.where("single > 0 and (d > 1 or again)").select("key", (F.col("d") > HOT_BLOCKS).alias("hot"))
-    wanted = distinct.join(keys, "key").select("at.t1", "at.t2", F.lit(False).alias("words"), "key", "n", "hot", "at.first", "at.last")
-    return counted, wanted
+    keys = keys.where("single > 0 and (d > 1 or again > 0)").select("key", (F.col("d") > HOT_BLOCKS).alias("hot"))
+    return counted, _wanted(distinct.join(keys, "key"), F.col("n") > 1)
 
 
 def _passage_blocks(cut: DataFrame, passage: int) -> tuple[DataFrame, DataFrame]:
-    """The same of blocks of words; ``n`` is 1 where one document alone holds the block, else 2."""
+    """The same of blocks of words, which count where several documents hold them."""
     rows = cut.select("t1", "t2", F.inline("passages")).drop("again")
     distinct = materialise(
         rows.groupBy("key", "hash").agg(
@@ -428,11 +446,7 @@ def _passage_blocks(cut: DataFrame, passage: int) -> tuple[DataFrame, DataFrame]
         F.count_if(F.col("t1") == F.col("other")).alias("single"),
     )
     keys = keys.where("single > 0 and d > 1 and least < most").select("key", (F.col("d") > HOT_BLOCKS).alias("hot"))
-    n = F.when(F.col("t1") == F.col("other"), 1).otherwise(2).cast("long")
-    wanted = distinct.join(keys, "key").select(
-        "t1", "t2", F.lit(True).alias("words"), "key", n.alias("n"), "hot", "first", (F.col("first") + F.col("size")).alias("last")
-    )
-    return counted, wanted
+    return counted, _wanted(distinct.join(keys, "key"), F.col("t1") < F.col("other"))
 
 
 def _byte_prefix(segment: bytes) -> np.ndarray:
@@ -453,10 +467,10 @@ def repeated_spans(
     cut = materialise(docs.mapInArrow(_blocker(length, gram, passage, passage_gram), schema))
     counted, wanted = _string_blocks(cut, length)
     counted_words, wanted_words = _passage_blocks(cut, passage)
-    wanted = (
-        wanted.unionByName(wanted_words)
-        .groupBy("t1", "t2")
-        .agg(F.collect_list(F.struct("words", "key", "n", "hot", "first", "last")).alias("wanted"))
+    both = wanted.withColumn("words", F.lit(False)).unionByName(wanted_words.withColumn("words", F.lit(True)))
+    wanted = both.groupBy("t1", "t2").agg(
+        F.collect_list(F.when(~F.col("words"), F.col("w"))).alias("strings"),
+        F.collect_list(F.when(F.col("words"), F.col("w"))).alias("passages"),
     )
     texts = docs.select("t1", "t2", "text").join(small(materialise(wanted)), ["t1", "t2"])
     segments = materialise(texts.mapInArrow(_cutter(length, passage), _SEGMENT))
