@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake.plans.ingest import AllowLists, landing_path
-from feedlake.plans.job import LOADS, Outputs, RunContext, run, run_published
+from feedlake.plans.job import LOADS, Outputs, RunContext, remove_replaced, run, run_published
 from feedlake.plans.load import Rules
 from feedlake.plans.requests import load_requests, requests_of
 from feedlake.sources import allowlists
@@ -42,6 +43,12 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("--job-id", default="")
     p.add_argument("--facility", default="")
     p.add_argument("--publish", action="store_true", help="let all outputs of a load appear at once, in place of its last run's")
+    p.add_argument(
+        "--remove-replaced",
+        type=float,
+        metavar="DAYS",
+        help="with --publish: then remove outputs of replaced and stopped runs unchanged for so many days",
+    )
     p.add_argument("--warehouse", help="with --publish: prefix of the tables that take the accepted rows, one per entity")
     p.add_argument("--text", action="store_true", help="also write the rows as text lines")
     return p
@@ -83,6 +90,9 @@ def main(argv: list[str] | None = None) -> None:
     root, context = args.out_path.rstrip("/"), RunContext(args.job_id, args.facility, args.input_path)
     if args.publish:
         outcome = run_published(*load, root, rules, context, args.text, args.warehouse)
+        if args.remove_replaced is not None:
+            before = datetime.now(timezone.utc) - timedelta(days=args.remove_replaced)
+            print(f"{len(remove_replaced(spark, root, before))} runs removed")
     else:
         outcome = run(*load, Outputs(root, text=args.text), rules, context)
     print(f"{outcome.count()} entities, the first 1000 of them:")

@@ -13,13 +13,25 @@ from pyspark.sql import functions as F
 from feedlake.functions.paths import literal_glob
 from feedlake.operators import audit, sinks
 from feedlake.operators.filters import facility_route
-from feedlake.operators.ledger import Ledger
+from feedlake.operators.ledger import Ledger, changed_before, remove
 from feedlake.plans.ingest import AllowLists, Load, directory_load, manifest_load, placed
 from feedlake.plans.load import ROUTED_SCHEMA, Rules
 
 LOADS = {"divisional": manifest_load, "path": directory_load}
 
 
+PARTS = (
+    "rows",
+    "text",
+    "error/files",
+    "error/manifest_rows",
+    "error/missing_files",
+    "manifest",
+    "control",
+    "audit/outcome",
+)
+
+
 @dataclass(frozen=True)
 class Outputs:
     """Output folders below one root, each with a folder per ``run`` if that is given.
@@ -211,6 +223,25 @@ def published(spark: SparkSession, root: str, part: str = "rows", text: bool = F
     return reader.load([f"{literal_glob(root)}/{part}/run={r}" for r in runs])
 
 
+def remove_replaced(spark: SparkSession, root: str, before: datetime) -> list[str]:
+    """Remove the outputs of runs that stand for no load, and what the logs no longer need; returns the runs removed.
+
+    Those are runs that a later one replaced and runs that stopped. One of which any output changed at ``before`` or
+    later stays: it may still be running, or be read by someone who asked ``published`` earlier. So ``before`` must lie
+    further back than the longest run or read takes.
+    """
+    ledger = publications(spark, root)
+    found = [(part, name, old) for part in PARTS for name, old in changed_before(spark, f"{root}/{part}", before).items()]
+    standing = {f"run={r['run']}" for r in ledger.latest().collect()}
+    kept = standing | {name for _, name, old in found if not old}
+    gone = [(part, name) for part, name, _ in found if name.startswith("run=") and name not in kept]
+    for part, name in gone:
+        remove(spark, f"{root}/{part}/{name}")
+    for log in (ledger, status_log(spark, root), work_queue(spark, root)):
+        log.remove_before(before)
+    return sorted({name.removeprefix("run=") for _, name in gone})
+
+
 def requested_runs(controls: DataFrame, divisions: DataFrame, source: str) -> DataFrame:
     """(job_id, facility, from_date, run_type, run_source): what the control files ask for."""
     asked = controls.select("job_id", "facility", "from_date", F.lit(source).alias("source"))

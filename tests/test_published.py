@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from test_loads import A_TITLES, A_TYPES
 
 from feedlake.operators import audit
 from feedlake.plans import job
-from feedlake.plans.job import RunContext, published, run_published, status_log, take_work
+from feedlake.plans.job import PARTS, RunContext, published, remove_replaced, run_published, status_log, take_work
 
 US = "\x1f"
 DAY = "2015-09-01"
@@ -64,6 +65,31 @@ def test_a_run_replaces_its_own_outputs_at_once(spark, landing, again, tmp_path,
     assert taken == [[("J", "2208", "feed")], []]
 
 
+def test_replaced_and_stopped_runs_are_removed_once_old(spark, landing, again, tmp_path, monkeypatch):
+    root = str(tmp_path)
+
+    def folders():
+        return {p.name for part in PARTS for p in (tmp_path / part).glob("run=*")}
+
+    for date in (DAY, "2015-09-02"):
+        landing.entity("416", date, "allergy", A_TITLES, A_TYPES, [[date[-1], "n", "1"]])
+        again(date, kind="path", text=True)
+    again(kind="path", text=True)
+    with monkeypatch.context() as m:
+        m.setattr(audit, "outcome", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            again(kind="path")
+    assert len(folders()) == 4
+    now = datetime.now(timezone.utc)
+    assert remove_replaced(spark, root, now - timedelta(days=1)) == [] and len(folders()) == 4
+    before = published(spark, root).count()
+    assert len(remove_replaced(spark, root, now + timedelta(days=1))) == 2
+    assert len(folders()) == 2 and published(spark, root).count() == before and ids(published(spark, root)) == ["1", "2"]
+    assert published(spark, root, "error/files").count() == 0 and states(spark, root)["run"] == "failed"
+    assert remove_replaced(spark, root, now + timedelta(days=1)) == []
+    assert remove_replaced(spark, str(tmp_path / "none"), now) == []
+
+
 def test_warehouse_is_loaded_once(spark, landing, again, golden, tmp_path):
     prefix = f"wh_{uuid.uuid4().hex}"
 
