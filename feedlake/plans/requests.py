@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedlake.functions.paths import entity_of, file_name, scanned_path
 from feedlake.operators import audit
 from feedlake.operators.filters import allowed, facility_route, for_entity
+from feedlake.operators.sinks import open_folders
 from feedlake.plans.ingest import AllowLists, _controls, landing_path, named_files, placed
 from feedlake.plans.load import Rules, routed_rows
 from feedlake.scale import materialise
@@ -105,7 +106,8 @@ def load_requests(
     files = materialise(found.join(pairs.select("file_path").distinct(), "file_path", "left_semi"))
     rows = routed_rows(spark, [everywhere], F.lit(True), files, golden, controls, rules)
     told = probe(rows, pairs)
-    told.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request", "verdict", "entity").parquet(f"{out}/rows")
+    with open_folders(spark):
+        told.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request", "verdict", "entity").parquet(f"{out}/rows")
     landed = spark.read.schema(told.schema).parquet(f"{out}/rows").join(F.broadcast(requests.select("request")), "request", "left_semi")
     outcome = audit.outcome(landed, "request", "entity")
     outcome.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request").parquet(f"{out}/audit/outcome")

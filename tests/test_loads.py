@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import RS, US, framed
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from feedlake.operators import audit, sinks
@@ -206,6 +207,25 @@ def test_sinks(spark, landing, golden, lists, tmp_path):
     assert sinks.wants_compaction(loaded.files)
 
 
+@pytest.mark.parametrize("compact", [False, True])
+@pytest.mark.parametrize("folders", [1, 32])
+def test_rows_are_not_sorted_by_folder(spark, landing, golden, lists, tmp_path, monkeypatch, compact, folders):
+    fill(landing)
+    key, real, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.save, []
+    before = spark.conf.get(key)
+
+    def save(writer, path):
+        seen.append(int(spark.conf.get(key)))
+        real(writer, path)
+
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    monkeypatch.setattr(sinks, "OPEN_FOLDERS", folders, raising=False)
+    out = str(tmp_path / "landed")
+    sinks.write_rows(directory_load(spark, landing.source, "2015-09*", lists, golden).rows, out, compact=compact)
+    assert seen == [folders] and spark.conf.get(key) == before
+    assert by_verdict(spark.read.parquet(out)) == EXPECTED
+
+
 def test_command_line(spark, landing, tmp_path):
     from feedlake.__main__ import main
 
