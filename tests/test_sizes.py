@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 from feedlake.plans import queries
 
 
+def test_numbers_are_counted_in_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_TASK", 100)
+    rows = spark.range(0, 5000, 1, 1).select(F.lit("1").alias("org_id"), (F.col("id") % 2500).alias("record_no"))
+    spread = queries._spread(rows, "org_id", "record_no")
+    sizes = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_no").alias("d"))
+    found = sizes.collect()
+    assert sum(r["n"] for r in found) == 5000 and sum(r["d"] for r in found) == 2500  # equal numbers together
+    assert len(found) > 40 and max(r["n"] for r in found) < 200
+    assert queries._spread(rows.limit(0), "org_id").count() == 0
+
+
 def test_customers_of_a_nation_come_in_a_row(spark, tmp_path):
     rows = spark.range(0, 2000, 1, 1).select(
         F.col("id").alias("c_custkey"),
