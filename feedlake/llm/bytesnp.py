@@ -81,9 +81,9 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     have = _powers.get(inverse)
     if have is None or len(have) < n:
         base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        have = np.full(max(n, PORTION + 4096), base, np.uint64)
+        have = np.full(max(n, 1 << 16, min(n + n // 8, PORTION + 4096)), base, np.uint64)  # kept, so little more than asked for
         have[0] = 1
-        have = np.cumprod(have, dtype=np.uint64)
+        np.cumprod(have, out=have)
         if n <= 4 * PORTION:
             _powers[inverse] = have
     return have[:n]

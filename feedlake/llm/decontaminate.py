@@ -28,6 +28,8 @@ from feedlake.scale import measured_bytes
 Q, WINDOW, SHORTEST = 8, 96, 24
 EDIT_PERCENT = 10
 BLOCK_BYTES = 8 << 20
+#: Bytes of text that a task takes at once; their q-grams take some 40 times as much.
+PORTION = 1 << 18
 _BITS = 20
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -263,14 +265,14 @@ def _finder(tables, only_clean: bool):
         return place, [(index, *matches(index, body, limits)) for index in built[0]]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in bytesnp.portions(batches, "text"):
+        for part, data, bounds in bytesnp.portions(batches, "text", PORTION):
             keep = np.ones(part.num_rows, bool)
             for _, text, *_ in found(data, bounds)[1]:
                 keep[text] = False
             yield part.filter(pa.array(keep))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in bytesnp.portions(batches, "text"):
+        for part, data, bounds in bytesnp.portions(batches, "text", PORTION):
             place, some = found(data, bounds)
             if not any(len(text) for _, text, *_ in some):
                 continue

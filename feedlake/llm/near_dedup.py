@@ -30,6 +30,8 @@ from feedlake.scale import materialise
 SLOTS, ROWS = 128, 4
 #: Members above which a band's leftovers are searched in blocks, and the sizes of slice and block.
 HOT, SLICE, BLOCK = 16, 2000, 256
+#: Bytes of text that a task takes at once: a shingle takes some 250 bytes while its text is signed.
+PORTION = 1 << 18
 
 
 def superminhash(values: np.ndarray, text: np.ndarray, n_texts: int, slots: int = SLOTS) -> np.ndarray:
@@ -72,7 +74,7 @@ def _signer(ids: list[str], text_col: str, words: int, slots: int, rows: int, fi
     salts = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in bytesnp.portions(batches, text_col):
+        for part, data, bounds in bytesnp.portions(batches, text_col, PORTION):
             values, text, size, key = _sets(data, bounds, words)
             sign = superminhash(values, text, part.num_rows, slots)
             hashes = np.tile(salts, (part.num_rows, 1))
@@ -97,7 +99,7 @@ def _signer(ids: list[str], text_col: str, words: int, slots: int, rows: int, fi
 
 def _set_maker(id_col: str, text_col: str, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in bytesnp.portions(batches, text_col):
+        for part, data, bounds in bytesnp.portions(batches, text_col, PORTION):
             values, _, size, key = _sets(data, bounds, words)
             ends = np.cumsum(size)
             rows = [values[e - s : e].tobytes() for e, s in zip(ends, size, strict=True)]

@@ -36,7 +36,7 @@ PATIENCE, GAIN = 3, 0.0005
 SLICE, SLICES = 500, 50_000
 #: Words whose ids a task keeps (some 30 bytes each), parts of words that it keeps, and bytes of text that
 #: it takes at once. Beyond its limit a table starts anew.
-WORDS, PARTS, PORTION = 500_000, 20_000, 1 << 20
+WORDS, PARTS, PORTION = 500_000, 20_000, 1 << 18
 
 Packing = Counter  # pattern (lengths, descending) -> how many bins
 
@@ -207,10 +207,10 @@ class _Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        steps = json.loads(self.tokenizer.to_str())
-        special = all(t["content"].startswith("<|") for t in steps["added_tokens"])
-        self.plain = (steps["normalizer"], steps["pre_tokenizer"]) == self.STEPS and special
-        del steps
+        # the steps alone: the whole tokenizer as JSON takes many times the vocabulary's memory
+        steps = tuple(s and json.loads(s.__getstate__()) for s in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer))
+        special = all(t.content.startswith("<|") for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.plain = steps == self.STEPS and special
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         bytesnp.release()  # what reading the vocabulary took
@@ -387,19 +387,25 @@ def pack(
     demand = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = spark.sparkContext.broadcast(_places(pack_lengths(spark, demand, capacity)))
     each = max(SLICE, -(-sum(demand.values()) // SLICES))
-    slices = spark.createDataFrame([(k, -(-n // each)) for k, n in demand.items()], "length long, slices long")
+    slices = _longs(spark, ["length", "slices"], [(k, -(-n // each)) for k, n in demand.items()])
     pieces = pieces.join(F.broadcast(slices), "length").withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "slices"))
     before, used = [], Counter()
     for r in sorted(pieces.groupBy("length", "slice").agg(F.count("*").alias("n")).collect()):
         before.append((r.length, r.slice, used[r.length]))
         used[r.length] += r.n
-    before = spark.createDataFrame(before, "length long, slice long, before long")
+    before = _longs(spark, ["length", "slice", "before"], before)
     return _ranked(pieces, before).mapInArrow(
         _placer(runs, names),
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )
 
 
+def _longs(spark, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A small table, sent as Arrow: tuples would start Python workers of another kind beside those of the operators."""
+    table = np.array(rows, np.int64).reshape(-1, len(names))
+    return spark.createDataFrame(pa.table(dict(zip(names, map(pa.array, table.T), strict=True))))
+
+
 def _ranked(pieces: DataFrame, before: DataFrame) -> DataFrame:
     """Number the pieces of each length from 0: within a slice by a window, across slices by offset."""
     own: Column = F.row_number().over(Window.partitionBy("length", "slice").orderBy("doc_id", "piece", "ids_crc32"))
