@@ -5,12 +5,15 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta, timezone
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_loads import A_TITLES, A_TYPES
 
 from feedlake.operators import audit
-from feedlake.plans import job
+from feedlake.plans import exports, job, queries
 from feedlake.plans.job import PARTS, RunContext, published, remove_replaced, run_published, status_log, take_work
+from feedlake.plans.oracles import ORACLES
 
 US = "\x1f"
 DAY = "2015-09-01"
@@ -108,3 +111,31 @@ def test_warehouse_is_loaded_once(spark, landing, again, golden, tmp_path):
     again(DAY, kind="path", warehouse=prefix)
     assert table() == [("2", second), ("x", second)]
     spark.sql(f"DROP TABLE {prefix}_allergy")
+
+
+def test_the_query_loads_every_file_of_a_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exports, "ROWS_PER_FILE", 50)
+    i, years = F.col("id"), F.array(F.lit(1995), F.lit(1995), F.lit(1999), F.lit(2000))
+    orders = spark.range(0, 1500, 1, 1).select(
+        i.alias("o_orderkey"),
+        (i % 7).alias("o_custkey"),
+        F.element_at(F.array(F.lit("F"), F.lit("O"), F.lit("P")), (i % 3 + 1).cast("int")).alias("o_orderstatus"),
+        F.when(i % 11 == 0, 100.25).otherwise(30000.5 + i).alias("o_totalprice"),
+        F.make_timestamp(F.element_at(years, (i % 4 + 1).cast("int")), F.lit(3), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("o_orderdate"),
+        F.concat((i % 5 + 1).cast("string"), F.lit("-X")).alias("o_orderpriority"),
+    )
+    # keys that repeat, and rows without a date or a priority, which belong to no place
+    orders = orders.unionByName(orders.where("o_orderkey < 100"))
+    for column in ("o_orderdate", "o_orderpriority"):
+        orders = orders.unionByName(orders.limit(20).withColumn(column, F.lit(None).cast(orders.schema[column].dataType)))
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = {(r["part"], r["what"]): r["n"] for r in queries.published_runs(spark, str(tmp_path)).collect()}
+    wanted = spark.read.parquet(f"{tmp_path}/orders.parquet").where("year(o_orderdate) < 2000 and substr(o_orderpriority, 1, 1) in ('1', '3')")
+    assert found["rows", "ok"] + found["rows", "bad_arity"] == wanted.count() > 400
+    n_files = wanted.groupBy("o_orderpriority", F.year("o_orderdate")).agg(F.ceil(F.count(F.lit(1)) / 50).alias("n")).agg(F.sum("n")).first()[0]
+    assert found["rows", "file"] - found["files", "schema_mismatch"] == n_files > 4
+    assert found["missing", ""] == 6  # one a place
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    sql = ORACLES["published_runs"].replace("1000000", "50")
+    assert found == {(part, what): n for part, what, n in db.execute(sql).fetchall()}
